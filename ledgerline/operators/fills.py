@@ -45,13 +45,15 @@ def fill_owner(df: DataFrame, owners: Mapping[str, str] | DataFrame) -> DataFram
 
 
 def fill_ids(df: DataFrame, key: str, columns: Sequence[str]) -> DataFrame:
-    """Fill id columns with a UUID-shaped text that depends on the key and column."""
-    return df.withColumns(
-        {
-            c: F.coalesce(F.col(c), stable.uuid_shaped(stable.digest(F.col(key), c)))
-            for c in columns
-        }
-    )
+    """Fill id columns with a UUID-shaped text that depends on the key and column.
+
+    The digests are columns of their own, so that each is computed once per row.
+    """
+    digests = {f"_digest_{c}": stable.digest(F.col(key), c) for c in columns}
+    filled = {
+        c: F.coalesce(F.col(c), stable.uuid_shaped(F.col(f"_digest_{c}"))) for c in columns
+    }
+    return df.withColumns(digests).withColumns(filled).drop(*digests)
 
 
 def fill_place(
@@ -75,11 +77,11 @@ def fill_place(
             for city, lat, lon, postal in cells
         ]
     )
-    digest = F.col("_digest")
-    cell = F.get(options, stable.choose(digest, len(cells)).cast("int"))
+    digest, cell = F.col("_digest"), F.col("_cell")
     store = F.lpad((stable.choose(digest, 900, word=3) + 100).cast("string"), 3, "0")
     return (
         df.withColumn("_digest", stable.digest(F.col(key), "place"))
+        .withColumn("_cell", F.get(options, stable.choose(digest, len(cells)).cast("int")))
         .withColumns(
             {
                 "city": F.coalesce("city", cell["city"]),
@@ -89,5 +91,5 @@ def fill_place(
                 "store_number": F.coalesce("store_number", store),
             }
         )
-        .drop("_digest")
+        .drop("_digest", "_cell")
     )

@@ -258,7 +258,10 @@ def flatten_category(spark, sf_dir):
 
 @query
 def flatten_location(spark, sf_dir):
-    flattened = steps.flatten_location(raw(spark, sf_dir))
+    """Coordinates arrive as text here."""
+    coordinates = {c: F.col(c).cast("string") for c in ("loc_lat", "loc_lon")}
+    feed = nested(records(spark, sf_dir).withColumns(coordinates))
+    flattened = steps.flatten_location(feed)
     return flattened.select("transaction_id", *LOCATION)
 
 
