@@ -41,11 +41,13 @@ def dim_account(unique: DataFrame) -> DataFrame:
 def dim_category(unique: DataFrame, grain: str = "primary") -> DataFrame:
     """One row per primary category, which shows its first detail and confidence.
 
-    ``grain="full"`` keeps every combination. The distinct step collapses the data
-    before the shuffle, so a category with a third of all rows is no burden.
+    ``grain="full"`` keeps every combination. Combinations are counted first, by
+    hash before the shuffle, so a category with a third of all rows is no burden.
+    Taking the count along keeps the optimizer from dropping that step, which would
+    leave a sort of all rows; as last field it never decides which row is first.
     """
     keys = GRAINS[grain]
-    members = unique.select(*CATEGORY).distinct()
+    members = unique.groupBy(*CATEGORY).agg(F.count("*").alias("_n"))
     if keys != CATEGORY:
         members = dedupe(members, *keys)
     return dense_key(hashed_rank(members, keys), "category_id").select(*DIM_CATEGORY)

@@ -28,7 +28,7 @@ from ledgerline.schemas import (
 from ledgerline.sinks import files as sinks
 from ledgerline.sinks import tables as catalog
 from ledgerline.sources import files as sources
-from ledgerline.workload.records import FIELDS, nested, nested_full, owners, records, table
+from ledgerline.workload.records import NAMES, nested, nested_full, owners, records, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -83,7 +83,7 @@ def unnested(raw_records: DataFrame) -> DataFrame:
         "pfc_confidence_level": F.col("personal_finance_category.confidence_level"),
     }
     location = {f"loc_{name}": col for name, col in steps.location_fields().items()}
-    names = [name for name in FIELDS if name != "merchant_name"]
+    names = [name for name in NAMES if name != "merchant_name"]
     return raw_records.withColumns({**category, **location}).select(*names)
 
 
