@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline.functions import stable
+from ledgerline.operators.lookups import one_row_per_key
 from ledgerline.schemas import BOROUGHS, DEFAULT_COUNTRY, DEFAULT_REGION
 
 # Largest lookup written into the plan as a literal; a bigger one is a table.
@@ -29,7 +30,9 @@ def fill_owner(df: DataFrame, owners: Mapping[str, str] | DataFrame) -> DataFram
     of the records (the left side of a left join may be split).
     """
     if isinstance(owners, DataFrame):
-        named = owners.groupBy("account_id").agg(F.min("account_owner").alias("_owner"))
+        known = owners.where("account_owner IS NOT NULL")
+        named = one_row_per_key(known, "account_id", ["account_owner"])
+        named = named.withColumnRenamed("account_owner", "_owner")
         return (
             df.join(named, "account_id", "left")
             .withColumn("account_owner", F.coalesce("account_owner", "_owner"))

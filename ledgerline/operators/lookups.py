@@ -30,7 +30,18 @@ def left_lookup(fact: DataFrame, dim: DataFrame, key: str, columns: Sequence[str
     return fact.join(dim.select(key, *columns), key, "left")
 
 
+def one_row_per_key(dim: DataFrame, key: str, columns: Sequence[str]) -> DataFrame:
+    """First row of each key by ``columns``: joining it never repeats a fact row.
+
+    Grouping by a struct of the key looks odd but matters at scale. Grouped by the
+    key itself, the result would already lie as the join needs it, and AQE splits a
+    skewed partition only when both sides of the join come straight from a shuffle.
+    So the reduced dimension is shuffled once more, and a hot key is split.
+    """
+    first = F.min(F.struct(*columns)).alias("_first")
+    grouped = dim.groupBy(F.struct(key).alias("_key")).agg(first)
+    return grouped.select(f"_key.{key}", "_first.*")
+
+
 def one_row_per_account(dim_account: DataFrame) -> DataFrame:
-    """First owner of each account, so that joining it never repeats a transaction."""
-    first = F.min(F.struct("account_pk", "account_owner")).alias("_first")
-    return dim_account.groupBy("account_id").agg(first).select("account_id", "_first.*")
+    return one_row_per_key(dim_account, "account_id", ["account_pk", "account_owner"])

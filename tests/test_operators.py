@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ledgerline.operators import fills
 from ledgerline.operators.dedupe import dedupe, duplicate_counts
 from ledgerline.operators.keys import calendar_rank, dense_key, hashed_rank
-from ledgerline.operators.lookups import attach_key, one_row_per_account
+from ledgerline.operators.lookups import attach_key, left_lookup, one_row_per_account
 from ledgerline.operators.records import drop_unused, location_fields, union_records
 from ledgerline.schemas import BOROUGHS
 
@@ -140,8 +140,9 @@ def test_account_with_two_owners_is_joined_once(spark):
     assert got == {("a", 1, "Cy"), ("b", 3, "Di")}
 
 
-def test_large_owner_table_with_a_hot_account(spark):
-    """Too large to broadcast: AQE splits the partition of the hot account."""
+@pytest.fixture()
+def too_large_to_broadcast(spark):
+    """Thresholds at which the test data behaves like a large cluster's."""
     small = {
         "spark.sql.autoBroadcastJoinThreshold": "-1",
         "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
@@ -151,23 +152,51 @@ def test_large_owner_table_with_a_hot_account(spark):
     }
     for key, value in small.items():
         spark.conf.set(key, value)
-    try:
-        feed = spark.range(0, 120000, 1, 8).selectExpr(
-            "if(id % 3 = 0, 'hot', concat('a', id)) AS account_id",
-            "CAST(NULL AS STRING) AS account_owner",
-            "md5(cast(id AS STRING)) AS payload",
-        )
-        owners = spark.range(0, 120000, 1, 8).selectExpr(
-            "if(id = 0, 'hot', concat('a', id)) AS account_id", "concat('owner ', id) AS account_owner"
-        )
-        filled = fills.fill_owner(feed, owners)
-        counts = filled.groupBy("account_owner").count()
-        filled.write.format("noop").mode("overwrite").save()
-        rows = filled.collect()
-        assert len(rows) == 120000
-        assert sum(r.account_owner == "owner 0" for r in rows) == 40000
-        assert counts.where("account_owner IS NULL").count() == 0
-        assert "skew=true" in filled._jdf.queryExecution().executedPlan().toString()
-    finally:
-        for key in small:
-            spark.conf.unset(key)
+    yield
+    for key in small:
+        spark.conf.unset(key)
+
+
+def hot_feed(spark, n):
+    """A third of the transactions belong to one account."""
+    return spark.range(0, n, 1, 8).selectExpr(
+        "if(id % 3 = 0, 'hot', concat('a', id)) AS account_id",
+        "CAST(NULL AS STRING) AS account_owner",
+        "md5(cast(id AS STRING)) AS payload",
+    )
+
+
+def account_table(spark, n):
+    return spark.range(0, n, 1, 8).selectExpr(
+        "id AS account_pk",
+        "if(id = 0, 'hot', concat('a', id)) AS account_id",
+        "concat('owner ', id) AS account_owner",
+    )
+
+
+def assert_split(joined, n):
+    rows = joined.collect()
+    assert len(rows) == n
+    assert sum(r.account_owner == "owner 0" for r in rows) == n // 3
+    assert all(r.account_owner is not None for r in rows)
+    assert "skew=true" in joined._jdf.queryExecution().executedPlan().toString()
+
+
+def test_hot_account_is_split_when_owners_are_filled(spark, too_large_to_broadcast):
+    n = 120000
+    owners = account_table(spark, n).drop("account_pk")
+    assert_split(fills.fill_owner(hot_feed(spark, n), owners), n)
+
+
+def test_hot_account_is_split_in_the_view_join(spark, too_large_to_broadcast):
+    n = 120000
+    fact = hot_feed(spark, n).drop("account_owner")
+    accounts = one_row_per_account(account_table(spark, n))
+    assert_split(left_lookup(fact, accounts, "account_id", ["account_pk", "account_owner"]), n)
+
+
+def test_hot_member_is_split_in_a_null_safe_key_lookup(spark, too_large_to_broadcast):
+    n = 120000
+    fact = hot_feed(spark, n).drop("account_owner")
+    joined = attach_key(fact, account_table(spark, n), ["account_id"], "account_owner")
+    assert_split(joined, n)
