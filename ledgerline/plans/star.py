@@ -11,6 +11,7 @@ from ledgerline.operators.keys import calendar_rank, dense_key, hashed_rank
 from ledgerline.operators.lookups import attach_key
 from ledgerline.schemas import (
     CATEGORY,
+    DATE_PARTS,
     DIM_ACCOUNT,
     DIM_CATEGORY,
     DIM_DATE,
@@ -54,8 +55,13 @@ def dim_category(unique: DataFrame, grain: str = "primary") -> DataFrame:
 
 
 def ranked_transactions(flat: DataFrame, stage: Stage) -> DataFrame:
-    """Unique transactions with their location rank, written once for all readers."""
-    return stage.save(hashed_rank(unique_transactions(flat), [SOURCE_ID]), "unique")
+    """Unique transactions with their location rank, written once for all readers.
+
+    Date parts stay behind: they follow from the date, which comes before them in
+    the order of first rows, and only ``dim_date`` needs them again.
+    """
+    unique = unique_transactions(flat.drop(*DATE_PARTS))
+    return stage.save(hashed_rank(unique, [SOURCE_ID]), "unique")
 
 
 def dim_location(ranked: DataFrame) -> DataFrame:
@@ -77,12 +83,12 @@ def fact_transactions(
 def build_star(flat: DataFrame, stage: Stage, grain: str = "primary") -> dict[str, DataFrame]:
     """The five tables. Staged: the unique transactions and the small dimensions."""
     ranked = ranked_transactions(flat, stage)
-    dates = stage.save(dim_date(ranked), "dim_date")
-    categories = stage.save(dim_category(ranked, grain), "dim_category")
-    return {
-        "dim_account": stage.save(dim_account(ranked), "dim_account"),
-        "dim_date": dates,
-        "dim_category": categories,
-        "dim_location": dim_location(ranked),
-        "fact_transactions": fact_transactions(ranked, dates, categories, grain),
-    }
+    dims = stage.save_all(
+        {
+            "dim_account": dim_account(ranked),
+            "dim_date": dim_date(ranked),
+            "dim_category": dim_category(ranked, grain),
+        }
+    )
+    fact = fact_transactions(ranked, dims["dim_date"], dims["dim_category"], grain)
+    return {**dims, "dim_location": dim_location(ranked), "fact_transactions": fact}

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import datetime
 import uuid
+from collections.abc import Mapping
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -59,3 +61,9 @@ class Stage:
         path = f"{self.folder}/{name}"
         write_parquet(df, path)
         return self.spark.read.schema(df.schema).parquet(path)
+
+    def save_all(self, frames: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
+        """Save small frames at the same time: their jobs share the executors."""
+        with ThreadPoolExecutor(max_workers=len(frames)) as pool:
+            saved = pool.map(lambda name: self.save(frames[name], name), frames)
+            return dict(zip(frames, saved))
