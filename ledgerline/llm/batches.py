@@ -22,6 +22,13 @@ def slices(texts: pa.Array, max_bytes: int = SLICE_BYTES) -> Iterator[pa.Array]:
             yield texts.slice(start, end - start)
 
 
+def text_slices(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    """All batches of a task in slices: what a column function returns may be cut otherwise
+    than what it gets, so neither texts nor results of a whole batch are ever held at once."""
+    for texts in batches:
+        yield from slices(texts)
+
+
 def raw(texts: pa.Array) -> list[bytes]:
     """UTF-8 bytes of each text; NULL is empty."""
     kind = pa.large_binary() if pa.types.is_large_string(texts.type) else pa.binary()

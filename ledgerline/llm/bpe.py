@@ -29,11 +29,11 @@ from pyspark import SparkFiles
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm.batches import lists, offsets, raw, slices
+from ledgerline.llm.batches import lists, offsets, raw, text_slices
 from ledgerline.llm.shipping import ship_package
 
 #: Entries of the younger half of a task's memory (results do not depend on it).
-YOUNG = 300_000
+YOUNG = 150_000
 #: Places to cut a text before it is matched, and a sign of blanks that are none.
 CUTS, ODD_BLANK = re.compile(r" (?=\S)"), re.compile(r" (?!\S)")
 WIDEST = 2048
@@ -267,11 +267,8 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, text: str = "text", i
 
     @F.arrow_udf(IDS_TYPE)
     def encoded(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        for texts in batches:
-            own = codec(name, pattern)
-            parts = [own.encode([t.decode() for t in raw(part)]) for part in slices(texts)]
-            values = np.concatenate([p[0] for p in parts]) if parts else np.zeros(0, np.int32)
-            yield lists(values, [n for p in parts for n in p[1]], pa.int32())
+        for texts in text_slices(batches):
+            yield lists(*codec(name, pattern).encode([t.decode() for t in raw(texts)]), pa.int32())
 
     return docs.withColumn(ids, encoded(F.col(text)))
 
@@ -288,3 +285,20 @@ def decode(docs: DataFrame, ranks_path: str, pattern: str, ids: str = "ids", dec
             yield pa.array(own.decode(arrays.flatten().to_numpy(zero_copy_only=False), lengths), pa.binary())
 
     return docs.withColumn(decoded, bytes_of(F.col(ids)))
+
+
+def round_trip(docs: DataFrame, ranks_path: str, pattern: str, text: str = "text") -> DataFrame:
+    """``docs`` with ``ids`` as of :func:`encode` and ``decoded`` as of :func:`decode`, in one
+    pass: the same worker decodes the ids that it has just made."""
+    name = ship(docs.sparkSession, ranks_path)
+
+    @F.arrow_udf(f"struct<ids:{IDS_TYPE}, decoded:binary>")
+    def both(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for texts in text_slices(batches):
+            own = codec(name, pattern)
+            ids, lengths = own.encode([t.decode() for t in raw(texts)])
+            decoded = pa.array(own.decode(ids, lengths), pa.binary())
+            yield pa.StructArray.from_arrays([lists(ids, lengths, pa.int32()), decoded], ["ids", "decoded"])
+
+    coded = docs.withColumn("_both", both(F.col(text)))
+    return coded.withColumns({c: F.col(f"_both.{c}") for c in ("ids", "decoded")}).drop("_both")

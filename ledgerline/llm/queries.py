@@ -53,9 +53,8 @@ def op5_warc_derivatives(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    coded = bpe.encode(docs, BPE_RANKS, public_tokenizers.PATTERN).drop("text")
-    decoded = bpe.decode(coded, BPE_RANKS, public_tokenizers.PATTERN)
-    return decoded.select(
+    coded = bpe.round_trip(docs, BPE_RANKS, public_tokenizers.PATTERN)
+    return coded.select(
         "doc_id", F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
