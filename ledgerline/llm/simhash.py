@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerline.llm.batches import raw, slices
+from ledgerline.llm.batches import raw, text_slices
 from ledgerline.llm.components import components
 from ledgerline.llm.shipping import ship_package
 from ledgerline.sinks.files import Stage
@@ -37,6 +37,8 @@ SHINGLE, SEED, BUDGET, BITS = 4, 42, 4, 64
 #: Bit ranges of the six blocks, from the lowest bit; pairs of them make the buckets.
 BLOCKS = [(0, 10), (10, 21), (21, 32), (32, 43), (43, 54), (54, 64)]
 PAIRS = list(combinations(range(len(BLOCKS)), 2))
+#: Bits that any two blocks have at least: the trie below them is descended.
+FIXED = 20
 #: Node pairs that descend at a time, and pair cells compared in full at a time.
 FRONTIER, CELLS = 1 << 18, 1 << 21
 #: Node pairs of at most so many fingerprint pairs are compared in full at once.
@@ -65,9 +67,8 @@ def fingerprint_of(text: bytes, size: int = SHINGLE) -> int:
 @F.arrow_udf(T.LongType())
 def fingerprint(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
     """Fingerprint of each text as a signed 64-bit integer (NULL: zero)."""
-    for texts in batches:
-        own = [fingerprint_of(t) for part in slices(texts) for t in raw(part)]
-        yield pa.array(np.array(own, np.uint64).view(np.int64))
+    for texts in text_slices(batches):
+        yield pa.array(np.array([fingerprint_of(t) for t in raw(texts)], np.uint64).view(np.int64))
 
 
 def arranged(values: np.ndarray, pair: int) -> np.ndarray:
@@ -82,10 +83,6 @@ def arranged(values: np.ndarray, pair: int) -> np.ndarray:
     return out
 
 
-def top_bits(pair: int) -> int:
-    return sum(BLOCKS[b][1] - BLOCKS[b][0] for b in PAIRS[pair])
-
-
 class Forest:
     """Components of positions 0..n-1 under batches of links, as flat arrays."""
 
@@ -196,16 +193,19 @@ class TrieJoin:
         self.renumber()
 
 
-def links_in(values: np.ndarray, pair: int, budget: int = BUDGET) -> tuple[np.ndarray, np.ndarray]:
-    """Links among the fingerprints of one block pair's buckets: member and its least peer."""
-    keys = arranged(values, pair)
-    order = np.argsort(keys)
-    keys, values = keys[order], values[order]
-    depth = top_bits(pair)
-    prefix = keys >> np.uint64(BITS - depth)
-    edges = np.flatnonzero(np.concatenate([[True], prefix[1:] != prefix[:-1], [True]]))
+def links_in(values: np.ndarray, pairs: np.ndarray, budget: int = BUDGET) -> tuple[np.ndarray, np.ndarray]:
+    """Links among fingerprints that lie in buckets of their block ``pairs``: each member and
+    the least position of its local component. All buckets descend together."""
+    keys = np.zeros(len(values), np.uint64)
+    for pair in np.unique(pairs):
+        keys[pairs == pair] = arranged(values[pairs == pair], int(pair))
+    order = np.lexsort((keys, pairs))
+    keys, values, pairs = keys[order], values[order], pairs[order]
+    prefix = keys >> np.uint64(BITS - FIXED)
+    changes = (prefix[1:] != prefix[:-1]) | (pairs[1:] != pairs[:-1])
+    edges = np.flatnonzero(np.concatenate([[True], changes, [True]]))
     join = TrieJoin(keys, budget)
-    join.run(np.stack([edges[:-1], edges[1:]], axis=1), depth)
+    join.run(np.stack([edges[:-1], edges[1:]], axis=1), FIXED)
     root = join.forest.root
     linked = np.flatnonzero(root != np.arange(len(root)))
     return values[linked], values[root[linked]]
@@ -217,11 +217,8 @@ def _joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         pairs.append(batch.column("pair").to_numpy())
         values.append(batch.column("fp").to_numpy().view(np.uint64))
-    if not pairs:
-        return
-    pair, value = np.concatenate(pairs), np.concatenate(values)
-    for number in np.unique(pair):
-        a, b = links_in(value[pair == number], int(number))
+    if pairs:
+        a, b = links_in(np.concatenate(values), np.concatenate(pairs))
         yield pa.RecordBatch.from_arrays([pa.array(a.view(np.int64)), pa.array(b.view(np.int64))], ["a", "b"])
 
 
