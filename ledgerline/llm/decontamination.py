@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerline.llm.batches import lists, raw, slices
+from ledgerline.llm.batches import lists, raw, text_slices
 from ledgerline.llm.shipping import ship_package
 
 WINDOW = 10
@@ -125,11 +125,8 @@ def _scanner(windows) -> Column:
     @F.arrow_udf(SCAN)
     def scanned(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         own: Windows = windows.value
-        for texts in batches:
-            n_words, spans, items = [], [], []
-            for part in slices(texts):
-                for whole, new in zip((n_words, spans, items), own.scan(raw(part))):
-                    whole.extend(new)
+        for texts in text_slices(batches):
+            n_words, spans, items = own.scan(raw(texts))
             flat = np.array([e for s in spans for e in s], np.int64).reshape(-1, 2)
             edges = pa.StructArray.from_arrays([pa.array(flat[:, 0]), pa.array(flat[:, 1])], ["start", "stop"])
             names = pa.array([i for own_items in items for i in own_items], pa.string())

@@ -23,7 +23,7 @@ import regex
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerline.llm.batches import raw, slices
+from ledgerline.llm.batches import raw, text_slices
 from ledgerline.llm.shipping import ship_package
 
 #: Bounds of the training sample: texts per language, characters per text and per language.
@@ -188,16 +188,10 @@ def predictor(model: Model, docs: DataFrame):
 
     @F.arrow_udf("struct<lang_pred:string, score:double, rate:double>")
     def predicted(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        for texts in batches:
-            own: Model = shared.value
-            names, scores, rates = [], [], []
-            for part in slices(texts):
-                a, b, c = own.predict([t.decode() for t in raw(part)])
-                names.extend(a)
-                scores.append(b)
-                rates.append(c)
-            both = [np.concatenate(x) if x else np.zeros(0) for x in (scores, rates)]
-            yield pa.StructArray.from_arrays([pa.array(names, pa.string()), *map(pa.array, both)], ["lang_pred", "score", "rate"])
+        own: Model = shared.value
+        for texts in text_slices(batches):
+            names, *numbers = own.predict([t.decode() for t in raw(texts)])
+            yield pa.StructArray.from_arrays([pa.array(names, pa.string()), *map(pa.array, numbers)], ["lang_pred", "score", "rate"])
 
     return predicted
 
@@ -211,6 +205,9 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
 
 
 def with_language(docs: DataFrame, model: Model, max_rate: float = REJECT_RATE) -> DataFrame:
-    """Rows of ``docs`` in a language: not ``und``, and not above ``max_rate``."""
+    """Rows of ``docs`` in a language: not ``und``, and not above ``max_rate``. A model that
+    learned no language rejects nothing."""
+    if not model.languages:
+        return docs
     rows = docs.select(F.struct("*").alias("_row"), F.col("text"))
     return identify(rows, model).where((F.col("lang_pred") != UNKNOWN) & (F.col("rate") <= max_rate)).select("_row.*")

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerline.llm.batches import raw, slices
+from ledgerline.llm.batches import raw, text_slices
 from ledgerline.llm.language import fold
 from ledgerline.llm.shipping import ship_package
 
@@ -142,9 +142,8 @@ def grow(x: np.ndarray, y: np.ndarray) -> Trees:
 
 @F.arrow_udf(T.ArrayType(T.DoubleType()))
 def statistics(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-    for texts in batches:
-        rows = [statistics_of(t) for part in slices(texts) for t in raw(part)]
-        yield pa.array(rows, pa.list_(pa.float64()))
+    for texts in text_slices(batches):
+        yield pa.array([statistics_of(t) for t in raw(texts)], pa.list_(pa.float64()))
 
 
 def train(docs: DataFrame, labels: DataFrame, label: str = "quality") -> Trees:
@@ -170,8 +169,8 @@ def scorer(trees: Trees, docs: DataFrame):
 
     @F.arrow_udf("double")
     def scored(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        for texts in batches:
-            rows = [statistics_of(t) for part in slices(texts) for t in raw(part)]
+        for texts in text_slices(batches):
+            rows = [statistics_of(t) for t in raw(texts)]
             x = np.array(rows, np.float64).reshape(len(rows), len(STATISTICS))
             yield pa.array(shared.value.score(x))
 
