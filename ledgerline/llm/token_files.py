@@ -100,7 +100,8 @@ class FileWriter:
         self.n_pending += len(ids)
         self.pending.append(ids)
         if self.n_pending >= 2 * ROWS_PER_BATCH * self.length:
-            self.flush(self.n_pending // self.length)
+            # Whole batches only, so that the place of a sequence follows from its number.
+            self.flush(self.n_pending // self.length // ROWS_PER_BATCH * ROWS_PER_BATCH)
 
     def flush(self, n_rows: int) -> None:
         flat = np.concatenate(self.pending) if self.pending else np.zeros(0, self.kind)
