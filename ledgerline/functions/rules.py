@@ -13,9 +13,15 @@ from ledgerline.schemas import (
 )
 
 
+def text_sql(value: object) -> str:
+    """The value as an SQL text literal, whatever characters it holds."""
+    escaped = str(value).replace("\\", "\\\\").replace("'", "\\'")
+    return f"'{escaped}'"
+
+
 def day_sql(as_of: datetime.date | str | None) -> str:
     """Run day as SQL; ``current_date()`` keeps a persistent view fresh."""
-    return "current_date()" if as_of is None else f"DATE '{as_of}'"
+    return "current_date()" if as_of is None else f"DATE {text_sql(as_of)}"
 
 
 def direction(amount: str) -> str:
@@ -24,7 +30,7 @@ def direction(amount: str) -> str:
 
 
 def country_name(country: str) -> str:
-    arms = " ".join(f"WHEN '{code}' THEN '{name}'" for code, name in COUNTRY_NAMES.items())
+    arms = " ".join(f"WHEN {text_sql(code)} THEN {text_sql(name)}" for code, name in COUNTRY_NAMES.items())
     return f"CASE {country} {arms} ELSE {country} END"
 
 
@@ -40,8 +46,15 @@ def days_since(day: str, as_of: datetime.date | str | None = None) -> str:
 
 def amount_bucket(amount: str) -> str:
     """Spending tier of the absolute amount; NULL falls in the top tier."""
-    arms = " ".join(f"WHEN abs({amount}) < {bound} THEN '{tier}'" for bound, tier in AMOUNT_TIERS)
-    return f"CASE {arms} ELSE '{TOP_TIER}' END"
+    arms = " ".join(
+        f"WHEN abs({amount}) < {bound} THEN {text_sql(tier)}" for bound, tier in AMOUNT_TIERS
+    )
+    return f"CASE {arms} ELSE {text_sql(TOP_TIER)} END"
+
+
+def magnitude(amount: str) -> str:
+    """Amounts of the models carry no sign; the direction says it."""
+    return f"abs({amount})"
 
 
 def is_large(amount: str) -> str:
@@ -50,4 +63,4 @@ def is_large(amount: str) -> str:
 
 def income_sign(amount: str, category: str, income: str = INCOME_CATEGORY) -> str:
     """Money coming in is stored as a negative amount."""
-    return f"if({category} = '{income}', -{amount}, {amount})"
+    return f"if({category} = {text_sql(income)}, -{amount}, {amount})"

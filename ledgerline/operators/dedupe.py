@@ -4,23 +4,23 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
 def dedupe(df: DataFrame, key: str, order_by: Sequence[str] = ()) -> DataFrame:
     """Keep the first row of each key, by ``order_by`` and then all other columns.
 
-    Ascending, NULLs first, so the choice does not depend on input order. The
-    minimum of a struct is that first row, and unlike a window it aggregates
-    before the shuffle: a key that holds a third of all rows leaves each map task
-    as one row. NULL is a key like any other.
+    Ascending, NULLs first, so the choice does not depend on input order. Spark
+    applies the limit of one row per key on both sides of the shuffle: a key that
+    holds a third of all rows leaves each map task as one row. NULL is a key like
+    any other.
     """
     rest = [*order_by, *[c for c in df.columns if c != key and c not in order_by]]
     if not rest:
         return df.distinct()
-    first = df.groupBy(key).agg(F.min(F.struct(*rest)).alias("_first"))
-    return first.select(key, "_first.*").select(*df.columns)
+    first = Window.partitionBy(key).orderBy(*[F.col(c).asc_nulls_first() for c in rest])
+    return df.withColumn("_n", F.row_number().over(first)).where("_n = 1").drop("_n")
 
 
 def duplicate_counts(df: DataFrame, key: str) -> DataFrame:

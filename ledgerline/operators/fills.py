@@ -11,9 +11,6 @@ from ledgerline.functions import stable
 from ledgerline.operators.lookups import one_row_per_key
 from ledgerline.schemas import BOROUGHS, DEFAULT_COUNTRY, DEFAULT_REGION
 
-# Largest lookup written into the plan as a literal; a bigger one is a table.
-MAX_LITERAL_ENTRIES = 1000
-
 
 def fill_literals(df: DataFrame, values: Mapping[str, str] | None = None) -> DataFrame:
     values = values or {"region": DEFAULT_REGION, "country": DEFAULT_COUNTRY}
@@ -23,8 +20,9 @@ def fill_literals(df: DataFrame, values: Mapping[str, str] | None = None) -> Dat
 def fill_owner(df: DataFrame, owners: Mapping[str, str] | DataFrame) -> DataFrame:
     """Fill ``account_owner`` from ``account_id``; an unknown id stays NULL.
 
-    ``owners`` is a short mapping, or a table (account_id, account_owner) of any
-    size. The table is reduced to one row per account, so no record is repeated,
+    ``owners`` is a mapping, which becomes one constant of the plan and is searched
+    from its start for each record, or a table (account_id, account_owner), which
+    is the better form of a long list. The table is reduced to one row per account, so no record is repeated,
     and joined without a hint: Spark broadcasts it when its size allows, else it
     shuffles, and AQE splits the partition of an account that holds a large share
     of the records (the left side of a left join may be split).
@@ -38,8 +36,6 @@ def fill_owner(df: DataFrame, owners: Mapping[str, str] | DataFrame) -> DataFram
             .withColumn("account_owner", F.coalesce("account_owner", "_owner"))
             .select(*df.columns)
         )
-    if len(owners) > MAX_LITERAL_ENTRIES:
-        raise ValueError(f"more than {MAX_LITERAL_ENTRIES} owners: pass them as a DataFrame")
     if not owners:
         return df
     pairs = [F.lit(text) for pair in owners.items() for text in pair]
@@ -50,9 +46,12 @@ def fill_owner(df: DataFrame, owners: Mapping[str, str] | DataFrame) -> DataFram
 def fill_ids(df: DataFrame, key: str, columns: Sequence[str]) -> DataFrame:
     """Fill id columns with a UUID-shaped text that depends on the key and column.
 
-    The digests are columns of their own, so that each is computed once per row.
+    The digests are columns of their own, so that each is computed once per row,
+    and only for rows that lack the value.
     """
-    digests = {f"_digest_{c}": stable.digest(F.col(key), c) for c in columns}
+    digests = {
+        f"_digest_{c}": F.when(F.col(c).isNull(), stable.digest(F.col(key), c)) for c in columns
+    }
     filled = {
         c: F.coalesce(F.col(c), stable.uuid_shaped(F.col(f"_digest_{c}"))) for c in columns
     }
@@ -67,8 +66,6 @@ def fill_place(
     All fields of a row come from the same cell, however many of them are
     missing. One digest gives the cell, both coordinate offsets and the number.
     """
-    if len(cells) > MAX_LITERAL_ENTRIES:
-        raise ValueError(f"more than {MAX_LITERAL_ENTRIES} cells")
     options = F.array(
         *[
             F.struct(

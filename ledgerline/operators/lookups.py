@@ -30,18 +30,26 @@ def left_lookup(fact: DataFrame, dim: DataFrame, key: str, columns: Sequence[str
     return fact.join(dim.select(key, *columns), key, "left")
 
 
-def one_row_per_key(dim: DataFrame, key: str, columns: Sequence[str]) -> DataFrame:
+def one_row_per_key(
+    dim: DataFrame, key: str, columns: Sequence[str], known: str | None = None
+) -> DataFrame:
     """First row of each key by ``columns``: joining it never repeats a fact row.
 
+    Rows that have a value in column ``known`` come before those that lack it.
+
     Grouping by a struct of the key looks odd but matters at scale. Grouped by the
     key itself, the result would already lie as the join needs it, and AQE splits a
     skewed partition only when both sides of the join come straight from a shuffle.
     So the reduced dimension is shuffled once more, and a hot key is split.
     """
-    first = F.min(F.struct(*columns)).alias("_first")
+    lacking = [F.col(known).isNull().alias("_lacking")] if known else []
+    first = F.min(F.struct(*lacking, *columns)).alias("_first")
     grouped = dim.groupBy(F.struct(key).alias("_key")).agg(first)
-    return grouped.select(f"_key.{key}", "_first.*")
+    return grouped.select(f"_key.{key}", *[f"_first.{c}" for c in columns])
 
 
 def one_row_per_account(dim_account: DataFrame) -> DataFrame:
-    return one_row_per_key(dim_account, "account_id", ["account_pk", "account_owner"])
+    """A known owner is shown even if the account also came without one."""
+    return one_row_per_key(
+        dim_account, "account_id", ["account_pk", "account_owner"], known="account_owner"
+    )
