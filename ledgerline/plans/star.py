@@ -21,6 +21,7 @@ from ledgerline.schemas import (
 )
 from ledgerline.sinks.files import Stage
 
+LOCATION_ID = "location_id"
 GRAINS = {"primary": CATEGORY[:1], "full": CATEGORY}
 
 
@@ -55,27 +56,33 @@ def dim_category(unique: DataFrame, grain: str = "primary") -> DataFrame:
 
 
 def ranked_transactions(flat: DataFrame, stage: Stage) -> DataFrame:
-    """Unique transactions with their location rank, written once for all readers.
+    """Unique transactions with their ``location_id``, written once for all readers.
 
-    Date parts stay behind: they follow from the date, which comes before them in
-    the order of first rows, and only ``dim_date`` needs them again.
+    Only the ids are ranked. Full rows move once, by id to remove duplicates, and
+    the numbers come to them there. Date parts stay behind: they follow from the
+    date, which comes before them in the order of first rows, and only
+    ``dim_date`` needs them again.
     """
-    unique = unique_transactions(flat.drop(*DATE_PARTS))
-    return stage.save(hashed_rank(unique, [SOURCE_ID]), "unique")
+    ranks = stage.save(hashed_rank(flat.select(SOURCE_ID).distinct(), [SOURCE_ID]), "ranks")
+    # As a struct the id is a key that joins a NULL id too, without a null-safe condition,
+    # which would move the full rows again.
+    key = F.struct(SOURCE_ID).alias("_key")
+    numbers = dense_key(ranks, LOCATION_ID).select(key, LOCATION_ID)
+    unique = dedupe(flat.drop(*DATE_PARTS).select("*", key), "_key")
+    return stage.save(unique.join(numbers, "_key").drop("_key"), "unique")
 
 
 def dim_location(ranked: DataFrame) -> DataFrame:
     """One location per transaction, numbered 1..n."""
-    return dense_key(ranked, "location_id").select(*DIM_LOCATION)
+    return ranked.select(*DIM_LOCATION)
 
 
 def fact_transactions(
     ranked: DataFrame, dates: DataFrame, categories: DataFrame, grain: str = "primary"
 ) -> DataFrame:
-    """The fact and :func:`dim_location` project the same ranked frame, so their
+    """The fact and :func:`dim_location` project the same numbered frame, so their
     location ids agree without any join by position."""
-    fact = dense_key(ranked, "location_id")
-    fact = attach_key(fact, dates, ["date"], "date_id")
+    fact = attach_key(ranked, dates, ["date"], "date_id")
     fact = attach_key(fact, categories, GRAINS[grain], "category_id")
     return fact.withColumn("transaction_id", F.col(SOURCE_ID)).select(*FACT)
 

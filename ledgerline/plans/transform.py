@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline.functions.dates import date_parts, parse_date
@@ -22,15 +22,21 @@ def transform(
     raw: DataFrame,
     owners: Mapping[str, str] | DataFrame = ACCOUNT_OWNERS,
     cells: Sequence[tuple[str, float, float, str]] = BOROUGHS,
+    keep: Sequence[str] = (),
 ) -> DataFrame:
     """27 columns per raw record; repeated records stay repeated.
 
-    Map-only, except that a table of owners is joined.
+    Map-only, except that a table of owners is joined. Columns of ``keep`` go along.
     """
     flat = rename_fields(flatten_location(flatten_category(drop_unused(raw))))
     filled = fill_literals(fill_place(fill_owner(flat, owners), SOURCE_ID, cells))
     filled = fill_ids(filled, SOURCE_ID, ["merchant_entity_id", "address"])
     typed = filled.withColumns(
-        {"date": parse_date(F.col("date")), "amount_usd": F.round("amount", 2)}
+        {"date": parse_date(F.col("date")), "amount_usd": rounded(F.col("amount"))}
     )
-    return typed.withColumns(date_parts(F.col("date"))).select(*TRANSFORMED)
+    return typed.withColumns(date_parts(F.col("date"))).select(*TRANSFORMED, *keep)
+
+
+def rounded(amount: Column) -> Column:
+    """Cents, halves away from zero."""
+    return F.round(amount, 2)

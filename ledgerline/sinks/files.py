@@ -5,13 +5,13 @@ from __future__ import annotations
 import datetime
 import uuid
 from collections.abc import Mapping
-from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import InheritableThread
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerline.session import shared_dir
-from ledgerline.sources.files import RUN_DATE
+from ledgerline.sources.files import RUN_DATE, file_system
 
 
 def write_jsonl(df: DataFrame, path: str) -> None:
@@ -45,12 +45,19 @@ def new_folder(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/ledgerline/{name}-{uuid.uuid4().hex}"
 
 
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder and what is below it; nothing happens if it does not exist."""
+    system, where = file_system(spark, path)
+    system.delete(where, True)
+
+
 class Stage:
     """Cuts a plan where its result feeds several outputs.
 
     ``save`` writes the frame as Parquet to the shared folder and reads it back.
     The work behind it then runs once, the readers prune columns, a lost executor
     costs no recomputation, and the planner knows the true size of what it joins.
+    Whoever makes a stage calls ``remove`` once nothing reads it any more.
     """
 
     def __init__(self, spark: SparkSession, folder: str | None = None):
@@ -63,7 +70,27 @@ class Stage:
         return self.spark.read.schema(df.schema).parquet(path)
 
     def save_all(self, frames: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
-        """Save small frames at the same time: their jobs share the executors."""
-        with ThreadPoolExecutor(max_workers=len(frames)) as pool:
-            saved = pool.map(lambda name: self.save(frames[name], name), frames)
-            return dict(zip(frames, saved))
+        """Save small frames at the same time: their jobs share the executors.
+
+        The threads inherit the job group and tags of the caller.
+        """
+        saved: dict[str, DataFrame] = {}
+        failed: list[Exception] = []
+
+        def keep(name: str) -> None:
+            try:
+                saved[name] = self.save(frames[name], name)
+            except Exception as error:
+                failed.append(error)
+
+        threads = [InheritableThread(keep, args=(name,), session=self.spark) for name in frames]
+        for thread in threads:
+            thread.start()
+        for thread in threads:
+            thread.join()
+        if failed:
+            raise failed[0]
+        return {name: saved[name] for name in frames}
+
+    def remove(self) -> None:
+        remove_folder(self.spark, self.folder)

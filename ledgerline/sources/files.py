@@ -48,22 +48,30 @@ def read_run_date(
     )
 
 
+def file_system(spark: SparkSession, path: str):
+    """Hadoop file system of a path, and the path as it takes it."""
+    jvm = spark.sparkContext._jvm
+    where = jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), where
+
+
+def folders(spark: SparkSession, pattern: str) -> list[tuple[str, int]]:
+    """Folders that match a glob pattern, with their modification times."""
+    system, where = file_system(spark, pattern)
+    found = system.globStatus(where)
+    return [(f.getPath().toString(), f.getModificationTime()) for f in found or [] if f.isDirectory()]
+
+
 def latest_run_date(spark: SparkSession, stage: str) -> datetime.date:
-    """Run date of the newest file below ``stage``.
+    """Highest run date below ``stage``.
 
-    ``binaryFile`` without its ``content`` column lists files and opens none. A
-    tie in file time goes to the later run date. One row reaches the driver.
+    Only the run-date folders are listed, one per day, and none of their files.
+    A day that is delivered again later is no newer for that: pass its run date.
     """
-    files = spark.read.format("binaryFile").load(stage)
-    newest = (
-        files.select(F.col(RUN_DATE).cast("date").alias(RUN_DATE), "modificationTime")
-        .orderBy(F.desc("modificationTime"), F.desc(RUN_DATE))
-        .limit(1)
-        .collect()
-    )
-    if not newest:
+    dates = [path.rsplit("=", 1)[1] for path, _ in folders(spark, f"{stage}/{RUN_DATE}=*")]
+    if not dates:
         raise FileNotFoundError(f"no extract below {stage}")
-    return newest[0][RUN_DATE]
+    return datetime.date.fromisoformat(max(dates))
 
 
 def latest_extract(spark: SparkSession, stage: str, schema: T.StructType = RAW) -> DataFrame:
@@ -71,13 +79,9 @@ def latest_extract(spark: SparkSession, stage: str, schema: T.StructType = RAW)
     return read_jsonl(spark, f"{stage}/{RUN_DATE}={latest_run_date(spark, stage)}", schema)
 
 
-def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Give a scan with fewer splits than task slots one partition per slot.
+def spread(df: DataFrame, partitions: int | None, *keys: str) -> DataFrame:
+    """Deal a scan into ``partitions``, if the caller names a number; else leave it.
 
-    A small table in a single file would run all row-wise work in one task. A
-    large one has more splits than slots and passes untouched, without a shuffle.
+    For small tables in a single file, which would be one task.
     """
-    slots = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= slots:
-        return df
-    return df.repartition(slots, *keys)
+    return df.repartition(partitions, *keys) if partitions else df

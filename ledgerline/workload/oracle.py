@@ -51,6 +51,7 @@ def uuid_of(digest: str) -> str:
     return "concat_ws('-', " + ", ".join(f"substr({digest}, {a}, {n})" for a, n in parts) + ")"
 
 
+# Fixed values of the rules: tiers and their bounds, the large amount, country names.
 def tier(a: str) -> str:
     return (
         f"CASE WHEN {a} IS NULL OR abs({a}) >= 500 THEN 'Over $500' "
@@ -60,11 +61,11 @@ def tier(a: str) -> str:
 
 
 def large(a: str) -> str:
-    return f"CASE WHEN coalesce(abs({a}), 0) <= 1000 THEN 'No' ELSE 'Yes' END"
+    return f"CASE WHEN abs({a}) > 1000 THEN 'Yes' ELSE 'No' END"
 
 
 def direction(a: str) -> str:
-    return f"CASE WHEN coalesce({a}, 0) <= 0 THEN 'Credit' ELSE 'Debit' END"
+    return f"CASE WHEN {a} > 0 THEN 'Debit' ELSE 'Credit' END"
 
 
 def country(c: str) -> str:
@@ -143,6 +144,7 @@ JOIN nation n ON s.s_nationkey = n.n_nationkey""",
         (),
         "SELECT concat('acct-', c_custkey) AS account_id, c_name AS owner FROM customer",
     ),
+    # The cells of the place fill.
     "cells": (
         (),
         """
@@ -313,12 +315,14 @@ RUN_DATES = (
     "CASE payment_channel WHEN 'in store' THEN DATE '2001-08-01' "
     "ELSE DATE '2001-07-31' END AS run_date"
 )
+# Accounts and their owners.
 ACCOUNTS = (
-    "['oM4wKDvbaDUwBAZEz17eSkqElAjJMXToM1q5x', 'LLvqdaJMXaSqMpjnJ96eSyZ5LJa9ArCkQqjKd', "
-    "'p1NWrDvg4Did3BLV7DmjcE8W4ky9rpcprbojm', 'MpvKa4JlX4UBNgGWEDXmFKVr7vyDJACLlN6pm', "
-    "'1bd9oVQJ8VU8XjWeGkN9SdvLNyA1m3upKNjXV']"
+    "[{'id': 'oM4wKDvbaDUwBAZEz17eSkqElAjJMXToM1q5x', 'owner': 'John Doe'}, "
+    "{'id': 'LLvqdaJMXaSqMpjnJ96eSyZ5LJa9ArCkQqjKd', 'owner': 'Sarah Johnson'}, "
+    "{'id': 'p1NWrDvg4Did3BLV7DmjcE8W4ky9rpcprbojm', 'owner': 'Marcus Williams'}, "
+    "{'id': 'MpvKa4JlX4UBNgGWEDXmFKVr7vyDJACLlN6pm', 'owner': 'Emily Chen'}, "
+    "{'id': '1bd9oVQJ8VU8XjWeGkN9SdvLNyA1m3upKNjXV', 'owner': 'David Rodriguez'}]"
 )
-OWNERS = "['John Doe', 'Sarah Johnson', 'Marcus Williams', 'Emily Chen', 'David Rodriguez']"
 ACCOUNT_AT = word("md5(transaction_id || ':account')", 0) + " % 5 + 1"
 
 
@@ -329,13 +333,6 @@ def _counts(kind: str, sources: dict[str, str]) -> str:
     )
 
 
-STAR = {
-    "dim_account": "dim_account",
-    "dim_date": "dim_date",
-    "dim_category": "dim_category",
-    "dim_location": "dim_location",
-    "fact_transactions": "fact",
-}
 VIEWS = {
     "stg_transactions": "mart_fact",
     "fact_transactions": "mart_fact",
@@ -345,13 +342,6 @@ VIEWS = {
     "dim_location": "dim_location",
     "analytics_view": "analytics",
 }
-KEYS = {
-    "dim_account": "account_pk",
-    "dim_date": "date_id",
-    "dim_category": "category_id",
-    "dim_location": "location_id",
-    "fact_transactions": "transaction_id",
-}
 SUITE = [
     null_test("fact_transactions", SOURCE_ID, "mart_fact"),
     null_test("fact_transactions", "account_id", "mart_fact"),
@@ -367,6 +357,7 @@ SUITE = [
     unique_test("dim_location", "location_id", "dim_location"),
 ]
 DATE = "CAST(date AS DATE)"
+ODD = "(CAST(right(transaction_id, 1) AS INTEGER) % 5)"
 
 ORACLE: dict[str, str] = {
     # sources and sinks
@@ -390,15 +381,30 @@ ORACLE: dict[str, str] = {
         "dim_account",
         "dim_date",
     ),
-    "load_star_tables": sql(
-        " UNION ALL ".join(
-            f"SELECT '{name}' AS table_name, count(*) AS n_rows, "
-            f"count(DISTINCT {KEYS[name]}) AS n_keys FROM {source}"
-            for name, source in STAR.items()
-        ),
-        *STAR.values(),
+    "load_star_tables": sql(f"SELECT {cols(FACT)} FROM fact", "fact"),
+    "model_views": sql(f"SELECT {cols(DIM_LOCATION)} FROM dim_location", "dim_location"),
+    "batch_run": sql(f"SELECT {cols(ANALYTICS_VIEW)} FROM analytics", "analytics"),
+    "load_dump": sql(
+        f"SELECT f.{SOURCE_ID}, l.city, d.date, c.category_primary FROM fact f "
+        "JOIN dim_location l USING (location_id) JOIN dim_date d USING (date_id) "
+        "JOIN dim_category c USING (category_id)",
+        "fact",
+        "dim_location",
+        "dim_date",
+        "dim_category",
+    ),
+    "reject_broken_lines": from_raw(
+        "CASE WHEN transaction_id LIKE '%-7' THEN 'rejected' ELSE 'sound' END AS kind, "
+        "CASE WHEN transaction_id LIKE '%-7' "
+        """THEN '{"transaction_id": "' || transaction_id || '"' ELSE transaction_id END AS line"""
+    ),
+    "dirty_values": from_raw(
+        f"transaction_id, CASE {ODD} WHEN 4 THEN NULL "
+        f"WHEN 2 THEN {cleaned("('élan' || chr(92) || 'vital ñu ' || name)")} "
+        f"ELSE {cleaned('name')} END AS transaction_name, "
+        f"CASE WHEN {ODD} IN (0, 1) THEN NULL ELSE loc_lat END AS lat, "
+        f"CASE WHEN {ODD} IN (1, 2, 3) THEN NULL ELSE CAST(date AS DATE) END AS date"
     ),
-    "model_views": sql(_counts("model", VIEWS), *VIEWS.values()),
     "stage_counts": sql(
         _counts("stage", {"read": "raw", "transformed": "transformed", "deduped": "deduped"}),
         "raw",
@@ -428,8 +434,8 @@ ORACLE: dict[str, str] = {
         "raw",
     ),
     "assign_account": from_raw(
-        f"transaction_id, {ACCOUNTS}[{ACCOUNT_AT}] AS account_id, "
-        f"{OWNERS}[{ACCOUNT_AT}] AS account_owner"
+        f"transaction_id, ({ACCOUNTS}[{ACCOUNT_AT}]).id AS account_id, "
+        f"({ACCOUNTS}[{ACCOUNT_AT}]).owner AS account_owner"
     ),
     "rolling_365d": from_raw(
         f"transaction_id, {DATE} AS date",

@@ -16,7 +16,7 @@ from ledgerline.operators.dedupe import dedupe, duplicate_counts
 from ledgerline.operators.keys import dense_key, hashed_rank
 from ledgerline.operators.lookups import attach_key, left_lookup, one_row_per_account
 from ledgerline.plans import batch, marts, quality, star
-from ledgerline.plans.transform import transform
+from ledgerline.plans.transform import rounded, transform
 from ledgerline.schemas import (
     ACCOUNT_OWNERS,
     CATEGORY,
@@ -66,6 +66,15 @@ def tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     return star.build_star(flat(spark, sf_dir), sinks.Stage(spark))
 
 
+def published(spark: SparkSession, sf_dir: str) -> str:
+    """Database of the models over loaded, bucketed tables."""
+    database = scratch_database(spark)
+    names = catalog.load_tables(tables(spark, sf_dir), database, suffix="__1")
+    catalog.point_views(spark, database, names)
+    marts.publish_models(spark, database, f"{database}_marts", AS_OF)
+    return f"{database}_marts"
+
+
 def scratch_database(spark: SparkSession) -> str:
     name = f"ledger_{uuid.uuid4().hex}"
     catalog.create_database(spark, name, sinks.new_folder(spark, name))
@@ -188,40 +197,93 @@ def truncate_then_count(spark, sf_dir):
 
 @query
 def load_star_tables(spark, sf_dir):
-    """Loaded twice: the second load replaces the first."""
+    """The fact as loaded; the second load replaces the first."""
     built = tables(spark, sf_dir)
     database = scratch_database(spark)
     for _ in range(2):
         names = catalog.load_tables(built, database)
-    keys = dict(zip(STAR_TABLES, ["account_pk", "date_id", "category_id", "location_id"] * 2))
-    keys["fact_transactions"] = "transaction_id"
-    return steps.union_records(
-        *[
-            spark.table(names[name]).agg(
-                F.lit(name).alias("table_name"),
-                F.count("*").alias("n_rows"),
-                F.count_distinct(keys[name]).alias("n_keys"),
-            )
-            for name in STAR_TABLES
-        ]
-    )
+    return spark.table(names["fact_transactions"])
 
 
 @query
 def model_views(spark, sf_dir):
-    """Rows of the published views, which read the loaded tables by name."""
-    database = scratch_database(spark)
-    names = catalog.load_tables(tables(spark, sf_dir), database, suffix="__1")
-    catalog.point_views(spark, database, names)
-    views = marts.publish_models(spark, database, f"{database}_marts", AS_OF)
-    return steps.union_records(
-        *[
-            spark.table(view).agg(
-                F.lit(view.split(".")[1]).alias("model"), F.count("*").alias("n_rows")
-            )
-            for view in views
-        ]
+    """The location model as published: a view over a view over a loaded table."""
+    return spark.table(f"{published(spark, sf_dir)}.dim_location")
+
+
+def write_extract(spark: SparkSession, sf_dir: str) -> str:
+    """A landing zone with two days; the later one is the whole feed."""
+    extract = sinks.new_folder(spark, "extract")
+    feed = nested_full(records(spark, sf_dir))
+    sinks.write_jsonl(feed.where("payment_channel = 'online'"), f"{extract}/run_date={DAY_BEFORE}")
+    sinks.write_jsonl(feed, f"{extract}/run_date={AS_OF}")
+    return extract
+
+
+def run_batch(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
+    """Folder and models database of one batch run."""
+    out, name = sinks.new_folder(spark, "batch"), f"ledger_{uuid.uuid4().hex}"
+    args = {"database": name, "models_database": f"{name}_marts", "as_of": AS_OF}
+    batch.run(spark, write_extract(spark, sf_dir), out, owners=owners(spark, sf_dir), **args)
+    return out, args["models_database"]
+
+
+@query
+def batch_run(spark, sf_dir):
+    """Extract to published view, as one run does it."""
+    return wide_ints(spark.table(f"{run_batch(spark, sf_dir)[1]}.analytics_view"))
+
+
+@query
+def load_dump(spark, sf_dir):
+    """Rows of the five dumps that a run leaves below ``load``."""
+    out, _ = run_batch(spark, sf_dir)
+    dumps = {name: spark.read.parquet(f"{out}/load/run_date={AS_OF}/*/{name}") for name in STAR_TABLES}
+    fact, place = dumps["fact_transactions"], dumps["dim_location"]
+    day, kind = dumps["dim_date"], dumps["dim_category"]
+    named = fact.join(place, "location_id").join(day, "date_id").join(kind, "category_id")
+    known = dumps["dim_account"].select("account_id").distinct()
+    return named.join(known, "account_id").select(SOURCE_ID, "city", "date", "category_primary")
+
+
+@query
+def reject_broken_lines(spark, sf_dir):
+    """A feed in which every line of the seventh position of an order is cut off."""
+    lines = records(spark, sf_dir, "transaction_id", "amount")
+    cut = F.col("transaction_id").endswith("-7")
+    start = F.concat(F.lit('{"transaction_id": "'), "transaction_id", F.lit('"'))
+    amount = F.coalesce(F.concat(F.lit(', "amount": '), F.col("amount").cast("string")), F.lit(""))
+    path = sinks.new_folder(spark, "jsonl")
+    lines.select(F.when(cut, start).otherwise(F.concat(start, amount, F.lit("}")))).write.text(path)
+    raw_lines = sources.read_jsonl(spark, path, keep_corrupt=True)
+    folder = sinks.new_folder(spark, "rejecting")
+    sound, counts = batch.write_transformed(
+        raw_lines, ACCOUNT_OWNERS, f"{folder}/transform", f"{folder}/rejected"
+    )
+    if counts["read"] != counts["rejected"] + counts["transformed"]:
+        raise ValueError(f"lines were lost: {counts}")
+    rejected = spark.read.parquet(f"{folder}/rejected").select(F.lit("rejected").alias("kind"), "line")
+    kept = sound.select(F.lit("sound").alias("kind"), F.col(SOURCE_ID).alias("line"))
+    return rejected.union(kept)
+
+
+@query
+def dirty_values(spark, sf_dir):
+    """Coordinates, dates and names as no feed should hold them."""
+    fields = ["transaction_id", "name", "date", "loc_lat", "loc_lon"]
+    odd = F.substring("transaction_id", -1, 1).cast("int") % 5
+    spoilt = records(spark, sf_dir, *fields).withColumns(
+        {
+            "lat": F.when(odd == 0, "west").when(odd == 1, "").otherwise(F.col("loc_lat").cast("string")),
+            "date": F.when(odd == 1, "2001-13-45").when(odd == 2, "soon").when(odd == 3, None).otherwise(F.col("date")),
+            "name": F.when(odd == 2, F.concat(F.lit("élan\\vital ñu "), "name")).when(odd == 4, None).otherwise(F.col("name")),
+        }
     )
+    place = [F.col("lat") if n == "lat" else F.lit(None).cast("string").alias(n) for n in LOCATION]
+    feed = spoilt.select("transaction_id", "name", "date", F.struct(*place).alias("location"))
+    typed = feed.select("transaction_id", "name", "date", steps.location_fields()["lat"].alias("lat"))
+    cleaned = with_sql(typed, transaction_name=text.clean_name("name"))
+    return cleaned.select("transaction_id", "transaction_name", "lat", parse_date(F.col("date")).alias("date"))
 
 
 @query
@@ -375,13 +437,13 @@ def fn_label(spark, sf_dir):
 
 @query
 def fn_abs_amount(spark, sf_dir):
-    return with_sql(records(spark, sf_dir, "transaction_id", "amount"), amount_usd="abs(amount)")
+    return with_sql(records(spark, sf_dir, "transaction_id", "amount"), amount_usd=rules.magnitude("amount"))
 
 
 @query
 def fn_round_amount(spark, sf_dir):
     feed = records(spark, sf_dir, "transaction_id", "amount")
-    return feed.withColumn("amount_usd", F.round("amount", 2))
+    return feed.withColumn("amount_usd", rounded(F.col("amount")))
 
 
 @query
@@ -553,7 +615,7 @@ def join_account(spark, sf_dir):
 
 @query
 def mart_fact(spark, sf_dir):
-    return marts.mart_fact(tables(spark, sf_dir), AS_OF)
+    return spark.table(f"{published(spark, sf_dir)}.fact_transactions")
 
 
 @query
@@ -582,7 +644,7 @@ def mart_dim_location(spark, sf_dir):
 
 @query
 def analytics_view(spark, sf_dir):
-    return wide_ints(marts.analytics_view(tables(spark, sf_dir), AS_OF))
+    return wide_ints(spark.table(f"{published(spark, sf_dir)}.analytics_view"))
 
 
 # --- data tests -------------------------------------------------------------

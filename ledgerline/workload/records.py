@@ -14,6 +14,9 @@ from ledgerline.schemas import (
 )
 from ledgerline.sources.files import spread
 
+# Setting with the number of partitions of the order lines; without it they are as scanned.
+SCAN_PARTITIONS = "ledgerline.scan.partitions"
+
 # Record fields by the table they come from. Fields of a lookup table are computed
 # there, before the join: once per order, part or supplier instead of once per line.
 FIELDS = {
@@ -100,7 +103,8 @@ def records(spark: SparkSession, sf_dir: str, *fields: str) -> DataFrame:
     def needs(*sources: str) -> bool:
         return any(f in wanted for source in sources for f in FIELDS[source])
 
-    lines = spread(table(spark, sf_dir, "lineitem"), "l_orderkey")
+    parts = spark.conf.get(SCAN_PARTITIONS, None)
+    lines = spread(table(spark, sf_dir, "lineitem"), int(parts) if parts else None, "l_orderkey")
     if needs("orders", "customer"):
         orders = table(spark, sf_dir, "orders")
         side = pick(orders, "orders", "o_orderkey", "o_custkey")

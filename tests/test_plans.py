@@ -5,6 +5,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
+from ledgerline.functions import rules
 from ledgerline.plans import batch, marts, quality, star
 from ledgerline.plans.transform import transform
 from ledgerline.schemas import (
@@ -170,12 +171,45 @@ def test_truncate_tolerates_missing_tables(spark, built):
     assert spark.table(f"{name}.dim_date").count() == 0
 
 
-def test_small_scan_is_spread_and_large_scan_is_left_alone(spark, sf_dir):
-    slots = spark.sparkContext.defaultParallelism
+def test_scan_is_dealt_out_only_on_request(spark, sf_dir):
     scan = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
-    assert spread(scan, "l_orderkey").rdd.getNumPartitions() == slots
-    wide = spark.range(0, 100, 1, slots + 1)
-    assert spread(wide, "id") is wide
+    assert spread(scan, None, "l_orderkey") is scan
+    assert "REPARTITION_BY_NUM" in spread(scan, 5, "l_orderkey")._jdf.queryExecution().toString()
+
+
+def test_full_rows_move_once_in_the_star_build(spark, flat):
+    """One exchange carries the columns of the transactions; ids are ranked by themselves."""
+    plans = []
+    stage = Stage(spark)
+    save = stage.save
+    stage.save = lambda df, name: (plans.append((name, df)), save(df, name))[1]
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        star.ranked_transactions(flat, stage)
+        plan = dict(plans)["unique"]._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    # One for the rows (to remove duplicates, and as they then lie, to join), one for the ids.
+    assert plan.count("Exchange hashpartitioning(_key") == 2
+    assert "SortMergeJoin" in plan and SOURCE_ID not in plan.split("hashpartitioning(")[1].split(")")[0]
+
+
+def test_run_dates_are_listed_without_their_files(spark, tmp_path):
+    for day in ("2001-08-02", "2001-08-10", "2001-08-01"):
+        (tmp_path / f"run_date={day}").mkdir()
+    (tmp_path / "run_date=2001-08-01" / "late.jsonl").write_text("{}")
+    assert str(latest_run_date(spark, str(tmp_path))) == "2001-08-10"
+    with pytest.raises(FileNotFoundError):
+        latest_run_date(spark, str(tmp_path / "none"))
+    backfill = read_jsonl(spark, f"{tmp_path}/run_date=2001-08-01")
+    assert backfill.count() == 1
+
+
+def test_apostrophes_in_labels(spark, monkeypatch):
+    monkeypatch.setattr(rules, "COUNTRY_NAMES", {"CI": "Cote d'Ivoire", "X": "a\\b"})
+    sql = rules.country_name("c")
+    rows = spark.sql("SELECT * FROM VALUES ('CI'), ('X'), ('Y') AS t(c)").selectExpr(f"{sql} AS n").collect()
+    assert [r.n for r in rows] == ["Cote d'Ivoire", "a\\b", "Y"]
 
 
 @pytest.fixture()
@@ -201,8 +235,29 @@ def test_batch_run(spark, sf_dir, extracts, tmp_path, flat):
     want = marts.analytics_view(star.build_star(flat, Stage(spark)), DAY)
     assert rows == sorted(want.collect(), key=repr)
 
-    batch.run(spark, extracts, out, owners=people, as_of=DAY, **args)
-    assert sorted(spark.table("ledger_run_marts.analytics_view").collect(), key=repr) == rows
+    for _ in range(2):
+        batch.run(spark, extracts, out, owners=people, as_of=DAY, buckets=3, **args)
+        assert sorted(spark.table("ledger_run_marts.analytics_view").collect(), key=repr) == rows
+    # Only the last run is left, and everything of it lies below ``out``.
+    assert len(batch.runs(spark, out)) == 1
+    stored = [t.name for t in spark.catalog.listTables("ledger_run") if t.tableType == "MANAGED"]
+    assert len(stored) == len(STAR_TABLES)
+    for name in stored:
+        detail = spark.sql(f"DESCRIBE EXTENDED ledger_run.{name}").where("col_name = 'Location'").first()
+        assert f"{out}/tables" in detail.data_type
+    load = next((tmp_path / "out" / "load" / f"run_date={DAY}").iterdir())
+    assert set(STAR_TABLES) <= {p.name for p in load.iterdir()}
+
+
+def test_broken_lines_are_kept_and_counted(spark, sf_dir, extracts, tmp_path, flat):
+    (tmp_path / "extract" / f"run_date={DAY}" / "broken.json").write_text('{broken\n{"transaction_id": 1, "amount": "x"}\n')
+    out, args = f"{tmp_path}/out", {"database": "ledger_broken", "models_database": "ledger_broken_marts"}
+    done = batch.run(spark, extracts, out, owners=owners(spark, sf_dir), as_of=DAY, **args)
+    counts = {r.stage: r.n_rows for r in done.counts.collect()}
+    assert counts["rejected"] == 2 and counts["read"] == counts["transformed"] + 2 == flat.count() + 2
+    lines = spark.read.parquet(f"{out}/rejected").select("line").collect()
+    assert sorted(r.line for r in lines) == ['{"transaction_id": 1, "amount": "x"}', "{broken"]
+    assert spark.table("ledger_broken_marts.fact_transactions").count() == counts["fact_transactions"]
 
 
 def test_failed_run_leaves_the_published_views(spark, extracts, tmp_path, sf_dir, raw):
@@ -213,5 +268,7 @@ def test_failed_run_leaves_the_published_views(spark, extracts, tmp_path, sf_dir
     write_jsonl(bad, f"{extracts}/run_date=2001-08-02")
     with pytest.raises(quality.DataTestError, match="account_id not_null"):
         batch.run(spark, extracts, f"{tmp_path}/out", owners=ACCOUNT_OWNERS, **args)
+    assert len(batch.runs(spark, f"{tmp_path}/out")) == 1
+    assert not any("2001_08_02" in t.name for t in spark.catalog.listTables("ledger_fail"))
     table = spark.table("ledger_fail_marts.fact_transactions")
     assert table.count() == before and table.where("account_id IS NULL").count() == 0
