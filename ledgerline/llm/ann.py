@@ -190,9 +190,10 @@ def distinct_vectors(rows: DataFrame, k: int, stage: Stage) -> DataFrame:
     """``rep`` (smallest id of equal vectors), ``vector``, and ``id`` of its k + 1 first rows.
 
     More rows of one vector can never be among the k nearest of a query, as ties go to
-    smaller ids. The limit applies before the shuffle, so a very common vector is no burden."""
+    smaller ids. Repeated rows fold, and the limit applies, before the shuffles, so neither a
+    very common row nor a very common vector is a burden."""
     first = Window.partitionBy("vector").orderBy("id")
-    ranked = rows.withColumn("n", F.row_number().over(first)).where(f"n <= {k + 1}")
+    ranked = rows.distinct().withColumn("n", F.row_number().over(first)).where(f"n <= {k + 1}")
     return stage.save(ranked.withColumn("rep", F.first("id").over(first)).select("rep", "id", "vector"), "vectors")
 
 

@@ -13,7 +13,9 @@ fingerprints are compared in full. All buckets of a partition descend at once in
 
 Scale: a bucket has 21 or 22 fixed bits, so random fingerprints hardly meet. A bucket emits
 no pair lists but a forest: each fingerprint once, with the least one of its local component.
-Clusters of near copies soon become one component, after which their node pairs fall away.
+Clusters of near copies soon become one component, after which their node pairs fall away. A
+bucket of over ``BUCKET_ROWS`` fingerprints is cut into parts by a hash, and each pair of parts
+is a task of its own, so that a task's size is bounded however large a cluster is.
 """
 
 from __future__ import annotations
@@ -41,6 +43,8 @@ PAIRS = list(combinations(range(len(BLOCKS)), 2))
 FIXED = 20
 #: Node pairs that descend at a time, and pair cells compared in full at a time.
 FRONTIER, CELLS = 1 << 18, 1 << 21
+#: Fingerprints of a bucket, and of each part of a larger one.
+BUCKET_ROWS = 1 << 15
 #: Node pairs of at most so many fingerprint pairs are compared in full at once.
 LEAF_CELLS = 16
 ALL = np.uint64(2**64 - 1)
@@ -136,6 +140,8 @@ class TrieJoin:
             cells = (pairs[:, 1] - pairs[:, 0]) * (pairs[:, 3] - pairs[:, 2])
             small = (cells <= LEAF_CELLS) | (depth == BITS)
             self.compare(pairs[small])
+            if small.all():
+                continue
             pairs = self.children(pairs[~small], depth)
             # Nearest pairs last, so that they are taken first and merge components early.
             pairs = pairs[np.argsort(-pairs[:, 4], kind="stable")]
@@ -193,16 +199,16 @@ class TrieJoin:
         self.renumber()
 
 
-def links_in(values: np.ndarray, pairs: np.ndarray, budget: int = BUDGET) -> tuple[np.ndarray, np.ndarray]:
-    """Links among fingerprints that lie in buckets of their block ``pairs``: each member and
-    the least position of its local component. All buckets descend together."""
+def links_in(values: np.ndarray, pairs: np.ndarray, parts: np.ndarray, budget: int = BUDGET) -> tuple[np.ndarray, np.ndarray]:
+    """Links among fingerprints that lie in buckets of their block ``pairs`` and ``parts``: each
+    member and the least position of its local component. All buckets descend together."""
     keys = np.zeros(len(values), np.uint64)
     for pair in np.unique(pairs):
         keys[pairs == pair] = arranged(values[pairs == pair], int(pair))
-    order = np.lexsort((keys, pairs))
-    keys, values, pairs = keys[order], values[order], pairs[order]
+    order = np.lexsort((keys, parts, pairs))
+    keys, values, pairs, parts = keys[order], values[order], pairs[order], parts[order]
     prefix = keys >> np.uint64(BITS - FIXED)
-    changes = (prefix[1:] != prefix[:-1]) | (pairs[1:] != pairs[:-1])
+    changes = (prefix[1:] != prefix[:-1]) | (pairs[1:] != pairs[:-1]) | (parts[1:] != parts[:-1])
     edges = np.flatnonzero(np.concatenate([[True], changes, [True]]))
     join = TrieJoin(keys, budget)
     join.run(np.stack([edges[:-1], edges[1:]], axis=1), FIXED)
@@ -212,29 +218,33 @@ def links_in(values: np.ndarray, pairs: np.ndarray, budget: int = BUDGET) -> tup
 
 
 def _joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Fingerprints of some buckets (``pair``, ``fp``), in any order, to links ``a``, ``b``."""
-    pairs, values = [], []
-    for batch in batches:
-        pairs.append(batch.column("pair").to_numpy())
-        values.append(batch.column("fp").to_numpy().view(np.uint64))
-    if pairs:
-        a, b = links_in(np.concatenate(values), np.concatenate(pairs))
+    """Fingerprints of some buckets (``fp``, ``pair``, ``part``), in any order, to links ``a``, ``b``."""
+    held = [[batch.column(c).to_numpy() for c in ("fp", "pair", "part")] for batch in batches]
+    if held:
+        values, pairs, parts = (np.concatenate(c) for c in zip(*held))
+        a, b = links_in(values.view(np.uint64), pairs, parts)
         yield pa.RecordBatch.from_arrays([pa.array(a.view(np.int64)), pa.array(b.view(np.int64))], ["a", "b"])
 
 
-def fingerprint_links(fingerprints: DataFrame) -> DataFrame:
-    """Links ``a``, ``b`` among distinct ``fp``: whatever lies within the budget is connected.
-
-    Only buckets of at least two fingerprints matter, but counting them first would cost
-    the shuffle that the join needs anyway."""
+def fingerprint_links(fingerprints: DataFrame, stage: Stage, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
+    """Links ``a``, ``b`` among distinct ``fp``: whatever lies within the budget is connected."""
     def key(pair: int):
         parts = [F.shiftrightunsigned("fp", BLOCKS[b][0]).bitwiseAND(F.lit((1 << (BLOCKS[b][1] - BLOCKS[b][0])) - 1)) for b in PAIRS[pair]]
         return F.struct(F.lit(pair).cast("tinyint").alias("pair"), (F.shiftleft(parts[0], 11) + parts[1]).cast("int").alias("key"))
 
     ship_package(fingerprints.sparkSession)
-    buckets = fingerprints.select("fp", F.explode(F.array(*[key(p) for p in range(len(PAIRS))])).alias("k"))
-    dealt = buckets.select("fp", "k.pair", "k.key").repartition("pair", "key")
-    return dealt.select("pair", "fp").mapInArrow(_joined, "a bigint, b bigint")
+    buckets = fingerprints.select("fp", F.explode(F.array(*[key(p) for p in range(len(PAIRS))])).alias("k")).select("fp", "k.*")
+    counts = buckets.groupBy("pair", "key").agg(F.count("*").alias("n")).where(F.col("n") > bucket_rows)
+    large = stage.save(counts.select("pair", "key", F.ceil(F.col("n") / bucket_rows).alias("n_parts")), "large-buckets")
+    own = F.pmod(F.xxhash64("fp"), F.col("n_parts"))
+    meetings = F.transform(
+        F.sequence(F.lit(0).cast("long"), F.col("n_parts") - 1),
+        lambda other: F.least(own, other) * F.col("n_parts") + F.greatest(own, other),
+    )
+    parts = F.when(F.col("n_parts").isNull(), F.array(F.lit(-1).cast("long"))).otherwise(meetings)
+    dealt = buckets.join(large, ["pair", "key"], "left").select("fp", "pair", "key", F.explode(parts).alias("part"))
+    dealt = dealt.repartition("pair", "key", "part").select("fp", "pair", "part")
+    return dealt.mapInArrow(_joined, "a bigint, b bigint")
 
 
 def near_duplicates(docs: DataFrame, stage: Stage, text: str = "text") -> DataFrame:
@@ -259,7 +269,7 @@ def stage_components(prints: DataFrame, stage: Stage) -> DataFrame:
 
 def with_roots(distinct: DataFrame, stage: Stage) -> DataFrame:
     """``distinct`` (one row per ``fp``) with ``root``, the least fingerprint it reaches."""
-    roots = stage.save(components(fingerprint_links(distinct.select("fp")), stage), "roots")
+    roots = stage.save(components(fingerprint_links(distinct.select("fp"), stage), stage), "roots")
     return distinct.join(roots, F.col("fp") == F.col("node"), "left").withColumn("root", F.coalesce("root", "fp"))
 
 

@@ -188,11 +188,26 @@ def test_trie_join_equals_all_pairs(monkeypatch, leaf, spread):
     values = np.unique([int(c) ^ f for c, f in zip(np.resize(centres, 150), flips)]).astype(np.uint64)
     parent = simhash.Forest(len(values))
     for pair in range(len(simhash.PAIRS)):
-        a, b = simhash.links_in(values, np.full(len(values), pair))
+        a, b = simhash.links_in(values, np.full(len(values), pair), np.zeros(len(values)))
         parent.link(np.searchsorted(values, a), np.searchsorted(values, b))
     assert parent.root.tolist() == plain_components([int(v) for v in values], list(range(len(values))))
 
 
+@pytest.mark.parametrize("bucket_rows", [3, 40, 10**6])
+def test_large_buckets_are_joined_in_parts(spark, bucket_rows):
+    """A cluster of near copies larger than a bucket may be: no link is lost."""
+    rng = np.random.default_rng(9)
+    flips = {sum(1 << int(b) for b in rng.choice(64, 2, replace=False)) for _ in range(120)}
+    values = [f ^ 0x0123456789ABCDEF for f in flips] + [int(v) for v in rng.integers(0, 2**62, 50)]
+    frame = spark.createDataFrame([(v - 2**64 if v >= 2**63 else v,) for v in values], "fp bigint")
+    stage = Stage(spark)
+    links = simhash.fingerprint_links(frame, stage, bucket_rows)
+    roots = {r["node"]: r["root"] for r in components.components(links, stage).collect()}
+    got = [roots.get(r["fp"], r["fp"]) for r in frame.collect()]
+    want = plain_components(values, list(range(len(values))))
+    assert len(set(zip(got, want))) == len(set(got)) == len(set(want)) < 60
+
+
 def test_components_of_chains_stars_and_loops(spark):
     chain = [(i, i + 1) for i in range(100, 140)]
     star = [(7, i) for i in range(200, 260)]
@@ -228,7 +243,7 @@ def test_recall_over_several_shards(spark):
     rng = np.random.default_rng(5)
     centres = rng.normal(size=(12, 24))
     vectors = (centres[rng.integers(0, 12, 1500)] + 0.5 * rng.normal(size=(1500, 24))).astype(np.float32)
-    rows = spark.createDataFrame(pd.DataFrame({"id": np.arange(1500), "vector": list(vectors)}), "id bigint, vector array<float>")
+    rows = spark.createDataFrame(list(enumerate(vectors.tolist())), "id bigint, vector array<float>")
     found = ann.nearest(rows, F.col("id") % 20 == 0, Stage(spark), k=10, shard_rows=400).toPandas()
     hits = 0
     for q in range(0, 1500, 20):

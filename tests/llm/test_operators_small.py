@@ -112,7 +112,8 @@ def test_nearest(spark):
     def near(df, k):
         return rows(ann.nearest(df, F.col("id") % 20 == 0, Stage(spark), k=k), "query_id", "rank", "id", "score")
 
-    assert near(frame, 2) == [(0, 1, 1, 1.0), (0, 2, 2, 1.0), (20, 1, 3, -0.5), (20, 2, 0, -1.0), (60, 1, 10, 3.0)]
+    assert near(frame, 2) == [
+        (0, 1, 1, 1.0), (0, 2, 2, 1.0), (20, 1, 3, -0.5), (20, 2, 0, -1.0), (60, 1, 10, 3.0)]
     assert [r[2] for r in near(frame, 50) if r[0] == 0] == [1, 2, 3, 20]
     assert near(frame.where("false"), 2) == []
     same = spark.range(3000).select("id", F.array(F.lit(1.0), F.lit(2.0)).cast("array<float>").alias("vector"))
