@@ -19,6 +19,7 @@ import os
 import uuid
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -36,13 +37,15 @@ SEQUENCE = 1024
 ROWS_PER_BATCH = 256
 END_ID = 1
 #: Words that a task keeps in each of two generations (results do not depend on it).
-YOUNG = 200_000
+YOUNG = 300_000
+#: New words that the tokenizer gets as one text.
+LINES = 1000
 MANIFEST = "part int, path string, n_docs bigint, n_tokens bigint, n_sequences bigint"
 DOCUMENT = "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint"
 
 
 class Encoder:
-    """The tokenizer, asked once per white-space-delimited word.
+    """The tokenizer, asked once per word between white space.
 
     The vocabularies this is for drop white space before they match, so words are
     independent; ``tests`` compare with whole texts."""
@@ -60,9 +63,7 @@ class Encoder:
         new = set().union(*cut).difference(self.young) if cut else set()
         again = new.intersection(self.old)
         self.young.update((w, self.old[w]) for w in again)
-        fresh = list(new.difference(again))
-        coded = self.tokenizer.encode_batch_fast([w.decode() for w in fresh], add_special_tokens=False)
-        self.young.update((w, np.array(e.ids, self.kind).tobytes()) for w, e in zip(fresh, coded))
+        self.learn(list(new.difference(again)))
         get = self.young.__getitem__
         out = [np.frombuffer(b"".join(map(get, c)), self.kind) for c in cut]
         if len(self.young) > YOUNG:
@@ -70,6 +71,18 @@ class Encoder:
         return out
 
 
+    def learn(self, words: list[bytes]) -> None:
+        """Tokenise new words a line each, many lines at a time; a token's place names its word."""
+        for at in range(0, len(words), LINES):
+            lines = [w.decode() for w in words[at : at + LINES]]
+            coded = self.tokenizer.encode("\n".join(lines), add_special_tokens=False)
+            starts = np.cumsum([0, *(len(x) + 1 for x in lines)])
+            places = np.fromiter(chain.from_iterable(coded.offsets), np.int64, 2 * len(coded))[::2]
+            ends = (np.searchsorted(places, starts) * np.dtype(self.kind).itemsize).tolist()
+            data = np.array(coded.ids, self.kind).tobytes()
+            self.young.update(zip(words[at : at + LINES], [data[a:b] for a, b in zip(ends, ends[1:])]))
+
+
 @functools.lru_cache(maxsize=2)
 def encoder(name: str) -> Encoder:
     return Encoder(SparkFiles.get(name))
