@@ -118,7 +118,8 @@ def host_and_path(url: Column) -> tuple[Column, Column]:
 
 def rule_table(spark: SparkSession, rules: Iterable[tuple[str, str]]) -> DataFrame:
     """Rules as rows: text such as ``example.org/es/`` and a verdict."""
-    return spark.createDataFrame(list(rules), "rule string, verdict string")
+    rows = [F.struct(F.lit(r).cast("string").alias("rule"), F.lit(v).alias("verdict")) for r, v in rules]
+    return spark.range(1).select(F.inline(F.array(*rows)))
 
 
 def judge(urls: DataFrame, rules: DataFrame, url: str = "url", default: str = ALLOW, stage: Stage | None = None) -> DataFrame:
