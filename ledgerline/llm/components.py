@@ -10,6 +10,13 @@ from ledgerline.sinks.files import Stage
 MAX_ROUNDS = 60
 
 
+def _least_neighbour(edges: DataFrame) -> DataFrame:
+    """``a`` and its smallest neighbour ``m``. Grouped by a struct, so that the result is
+    shuffled once more for the join and AQE may split the partition of a node with very many
+    edges: it does so only if both sides come straight from a shuffle."""
+    return edges.groupBy(F.struct("a").alias("_k")).agg(F.min("b").alias("m")).select("_k.a", "m")
+
+
 def _both_ways(edges: DataFrame) -> DataFrame:
     return edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
 
@@ -27,10 +34,10 @@ def components(edges: DataFrame, stage: Stage) -> DataFrame:
     current = stage.save(edges.where("a <> b").select("a", "b").distinct(), "edges-0")
     for turn in range(1, MAX_ROUNDS + 1):
         ways = _both_ways(current)
-        least = ways.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
+        least = _least_neighbour(ways).withColumn("m", F.least("m", "a"))
         large = ways.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").distinct()
         # Small star: edges now point from larger to smaller.
-        least = large.groupBy("a").agg(F.min("b").alias("m"))
+        least = _least_neighbour(large)
         small = large.join(least, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
         small = small.union(least.select("a", F.col("m").alias("b"))).distinct()
         current = stage.save(small, f"edges-{turn}")
