@@ -68,7 +68,8 @@ def latest_run_date(spark: SparkSession, stage: str) -> datetime.date:
     Only the run-date folders are listed, one per day, and none of their files.
     A day that is delivered again later is no newer for that: pass its run date.
     """
-    dates = [path.rsplit("=", 1)[1] for path, _ in folders(spark, f"{stage}/{RUN_DATE}=*")]
+    dated = f"{stage}/{RUN_DATE}=[0-9][0-9][0-9][0-9]-[0-9][0-9]-[0-9][0-9]"
+    dates = [path.rsplit("=", 1)[1] for path, _ in folders(spark, dated)]
     if not dates:
         raise FileNotFoundError(f"no extract below {stage}")
     return datetime.date.fromisoformat(max(dates))
