@@ -2,9 +2,11 @@
 
 Per language, the letters of a bounded sample of labelled texts form one suffix automaton.
 A text is parsed into phrases, each the longest match with anything in the sample from where
-the last phrase ended; a language that resembles the text needs few phrases. Phrases are
-weighed with the bits it takes to point into the sample (log2 of its length) and divided by
-the letters of the text; the language with the least rate wins.
+the last phrase ended; a language that resembles the text needs few phrases. Every phrase
+costs the bits it takes to point into the longest sample, whatever the language, and every
+letter that a sample lacks costs the bits of a letter besides: a language of which little is
+known is never cheaper for it. The sum is divided by the letters of the text; the language
+with the least rate wins.
 
 Texts are lowered and every run of other characters becomes one blank, as do both ends, so
 that short texts match whole words. Whole texts are parsed, in segments of ``SEGMENT`` characters that each start a phrase: all segments of a
@@ -95,6 +97,9 @@ class Model:
         self.letters = np.array(sorted({ord(c) for t in texts.values() for c in t}), np.uint32)
         n = len(self.letters) + 1  # the last number is "any other"
         self.automata = [suffix_automaton(self.numbered(texts[k]), n) for k in self.languages]
+        #: Bits of a phrase and of an unmatched letter, the same for all languages.
+        self.phrase_bits = math.log2(max([2, *(a.n_chars for a in self.automata)]))
+        self.letter_bits = math.log2(n + 1)
 
     def numbered(self, text: str) -> np.ndarray:
         points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
@@ -136,14 +141,21 @@ class Model:
             out[:, j] = np.bincount(owner, weights=count, minlength=len(texts))
         return out
 
+    def unmatched(self, texts: list[np.ndarray]) -> np.ndarray:
+        """Number of letters that a sample lacks by text and language."""
+        letters = np.concatenate([np.zeros(0, np.int32), *texts])
+        owner = np.repeat(np.arange(len(texts)), [len(t) for t in texts])
+        lacks = [a.table[1] == 0 for a in self.automata]
+        return np.stack([np.bincount(owner, weights=lack[letters], minlength=len(texts)) for lack in lacks], axis=1)
+
     def rates(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Bits per letter by text and language, those of the first phrase, and which texts
-        have a letter."""
+        """Bits per letter by text and language, those of the first phrase by text, and which
+        texts have a letter."""
         has_letter = np.array([LETTER.search(t) is not None for t in texts], bool)
         numbered = [self.numbered(normalized(t)) if h else np.zeros(0, np.int32) for t, h in zip(texts, has_letter)]
-        bits = np.array([math.log2(max(2, a.n_chars)) for a in self.automata])
         n = np.array([max(1, len(t)) for t in numbered])
-        return self.phrases(numbered) * bits / n[:, None], bits / n[:, None], has_letter
+        bits = self.phrases(numbered) * self.phrase_bits + self.unmatched(numbered) * self.letter_bits
+        return bits / n[:, None], self.phrase_bits / n, has_letter
 
     def predict(self, texts: list[str]) -> tuple[list[str], np.ndarray, np.ndarray]:
         """Language, score and rate (bits per letter without the first phrase, which says
@@ -158,7 +170,7 @@ class Model:
         second = ordered[:, 1] if len(self.languages) > 1 else np.maximum(own, math.log2(len(self.letters) + 2))
         score = np.where(known & (second > 0), 1 - own / np.where(second > 0, second, 1), 0.0)
         names = [self.languages[b] if k else UNKNOWN for b, k in zip(best, known)]
-        return names, score, np.where(known, own - first[np.arange(len(best)), best], 0.0)
+        return names, score, np.where(known, own - first, 0.0)
 
 
 def fold(doc_id: Column) -> Column:

@@ -176,6 +176,18 @@ def test_language(spark, docs, empty):
     assert language.train(unlabelled).languages == []
 
 
+def test_a_one_word_label_does_not_win_other_texts(spark):
+    prose = "the rain in spain stays mainly in the plain and so on, but that is another story for later days "
+    rows_ = [(i, prose * 5, "en") for i in range(10)] + [(i, "hello", "xx") for i in range(10, 20)]
+    model = language.train(spark.createDataFrame(rows_, "doc_id bigint, text string, lang string"))
+    assert model.languages == ["en", "xx"]
+    names, score, _ = model.predict(["another rainy day in spain for the plain people", "hello", "zq 7 wk"])
+    assert names[:2] == ["en", "xx"] and 0 < score[0] <= 1
+    for word in ("ok", "yes", "hello"):
+        tiny = language.Model({"en": prose * 20, "xx": word})
+        assert tiny.predict(["so is that story, but the days are later in another plain"])[0] == ["en"]
+
+
 def test_quality(spark, docs, empty):
     labels = spark.createDataFrame([(1, 1, 0), (4, 1, 0), (4, None, 0), (3, 0, 0), (None, 1, 0), (99, 1, 1)], "doc_id bigint, quality int, toxic int")
     trees = quality.train(docs, labels)
