@@ -32,9 +32,12 @@ from ledgerline.llm.shipping import ship_package
 SAMPLE_TEXTS, SAMPLE_CHARS, LANGUAGE_CHARS = 200, 2_000, 40_000
 SEGMENT = 1024
 UNKNOWN = "und"
-#: Bits per letter after the first phrase (languages: about 2.5; random letters: over 6) from
-#: which a document is in no language that was learned.
-REJECT_RATE = 6.0
+#: A document is in no language that was learned if it needs over this share of the phrases
+#: that its own letters need in random order (prose: 0.3 to 0.7 in alphabets, up to 0.85 in
+#: Chinese by a small sample; random letters: about 1).
+REJECT_SHARE = 0.85
+#: Letters, at least, from which the phrases of the random order are counted.
+CHANCE_CHARS = 1024
 RUNS = regex.compile(r"[^\p{L}\p{M}]+")
 LETTER = regex.compile(r"\p{L}")
 
@@ -108,10 +111,11 @@ class Model:
         at = np.searchsorted(self.letters, points).clip(max=len(self.letters) - 1)
         return np.where(self.letters[at] == points, at, len(self.letters)).astype(np.int32)
 
-    def phrases(self, texts: list[np.ndarray]) -> np.ndarray:
-        """Number of phrases by text and language."""
+    def phrases(self, texts: list[np.ndarray], languages: list[int] | None = None) -> np.ndarray:
+        """Number of phrases by text and language (all, or those of the given numbers)."""
+        automata = self.automata if languages is None else [self.automata[j] for j in languages]
         cut = [(i, t[at : at + SEGMENT]) for i, t in enumerate(texts) for at in range(0, len(t), SEGMENT)]
-        out = np.zeros((len(texts), len(self.languages)))
+        out = np.zeros((len(texts), len(automata)))
         if not cut:
             return out
         cut.sort(key=lambda c: -len(c[1]))
@@ -122,7 +126,7 @@ class Model:
         # Segments still running at step k are the first live[k] columns.
         live = np.searchsorted(-lengths, -np.arange(len(steps)), side="left")
         owner = np.array([i for i, _ in cut])
-        for j, automaton in enumerate(self.automata):
+        for j, automaton in enumerate(automata):
             n_letters = automaton.table.shape[1]
             flat = automaton.table.ravel()
             start = automaton.table[1]
@@ -148,14 +152,41 @@ class Model:
         lacks = [a.table[1] == 0 for a in self.automata]
         return np.stack([np.bincount(owner, weights=lack[letters], minlength=len(texts)) for lack in lacks], axis=1)
 
+    def read(self, texts: list[str]) -> tuple[list[np.ndarray], np.ndarray]:
+        """Letter numbers of each text, and which texts have a letter."""
+        has_letter = np.array([LETTER.search(t) is not None for t in texts], bool)
+        return [self.numbered(normalized(t)) if h else np.zeros(0, np.int32) for t, h in zip(texts, has_letter)], has_letter
+
+    def bits(self, numbered: list[np.ndarray], phrases: np.ndarray) -> np.ndarray:
+        """Bits by text and language."""
+        return phrases * self.phrase_bits + self.unmatched(numbered) * self.letter_bits
+
     def rates(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Bits per letter by text and language, those of the first phrase by text, and which
         texts have a letter."""
-        has_letter = np.array([LETTER.search(t) is not None for t in texts], bool)
-        numbered = [self.numbered(normalized(t)) if h else np.zeros(0, np.int32) for t, h in zip(texts, has_letter)]
+        numbered, has_letter = self.read(texts)
         n = np.array([max(1, len(t)) for t in numbered])
-        bits = self.phrases(numbered) * self.phrase_bits + self.unmatched(numbered) * self.letter_bits
-        return bits / n[:, None], self.phrase_bits / n, has_letter
+        return self.bits(numbered, self.phrases(numbered)) / n[:, None], self.phrase_bits / n, has_letter
+
+    def shares(self, texts: list[str]) -> np.ndarray:
+        """Phrases of each text in its language as a share of those that its letters need in
+        random order, both without the first one; infinite for texts without a letter.
+
+        A text is judged by its own letters, so neither the script nor the size of a sample
+        matters. The order depends on nothing but the text; short texts are shuffled several
+        times over."""
+        numbered, has_letter = self.read(texts)
+        phrases = self.phrases(numbered)
+        best = self.bits(numbered, phrases).argmin(axis=1)
+        times = np.array([max(1, -(-CHANCE_CHARS // max(1, len(t)))) for t in numbered])
+        chance = np.zeros(len(texts))
+        for j in np.unique(best[has_letter]).tolist():
+            at = np.flatnonzero(has_letter & (best == j))
+            mixed = [np.random.default_rng(len(numbered[i])).permutation(np.tile(numbered[i], times[i])) for i in at]
+            chance[at] = self.phrases(mixed, [j])[:, 0] / times[at]
+        own = phrases[np.arange(len(texts)), best] - 1
+        # A text that is one phrase is in the sample as it stands.
+        return np.where(has_letter, np.where(own > 0, own / np.maximum(chance - 1, 1e-9), 0.0), np.inf)
 
     def predict(self, texts: list[str]) -> tuple[list[str], np.ndarray, np.ndarray]:
         """Language, score and rate (bits per letter without the first phrase, which says
@@ -216,10 +247,25 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
     return found.withColumns({c: F.col(f"_found.{c}") for c in ("lang_pred", "score", "rate")}).drop("_found")
 
 
-def with_language(docs: DataFrame, model: Model, max_rate: float = REJECT_RATE) -> DataFrame:
-    """Rows of ``docs`` in a language: not ``und``, and not above ``max_rate``. A model that
-    learned no language rejects nothing."""
+def _resembles(model: Model, docs: DataFrame, max_share: float):
+    """Column function: whether a text is in one of the languages."""
+    ship_package(docs.sparkSession)
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    @F.arrow_udf("boolean")
+    def resembles(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        own: Model = shared.value
+        for texts in text_slices(batches):
+            yield pa.array(own.shares([t.decode() for t in raw(texts)]) <= max_share)
+
+    return resembles
+
+
+def with_language(docs: DataFrame, model: Model, max_share: float = REJECT_SHARE) -> DataFrame:
+    """Rows of ``docs`` in a language: with a letter, and with at most ``max_share`` of the
+    phrases of the same letters in random order. A model that learned no language rejects
+    nothing."""
     if not model.languages:
         return docs
     rows = docs.select(F.struct("*").alias("_row"), F.col("text"))
-    return identify(rows, model).where((F.col("lang_pred") != UNKNOWN) & (F.col("rate") <= max_rate)).select("_row.*")
+    return rows.where(_resembles(model, docs, max_share)(F.col("text"))).select("_row.*")

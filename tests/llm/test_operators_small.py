@@ -188,6 +188,23 @@ def test_a_one_word_label_does_not_win_other_texts(spark):
         assert tiny.predict(["so is that story, but the days are later in another plain"])[0] == ["en"]
 
 
+def test_with_language_judges_a_text_by_its_own_letters(spark):
+    """A script of many letters has short phrases; a small sample has few bits a phrase."""
+    rng = np.random.default_rng(7)
+    signs = [chr(0x4E00 + i) for i in range(600)]
+    words = ["".join(rng.choice(signs, 2)) for _ in range(800)]
+    prose = lambda n: "".join(rng.choice(words, n))
+    noise = lambda letters, n: "".join(rng.choice(letters, n))
+    latin = list("abcdefghijklmnopqrstuvwxyz   ")
+    model = language.Model({"zh": prose(1500), "en": LONG[:110]})
+    texts = {1: prose(150), 2: prose(40), 3: noise(signs, 300), 4: noise(latin, 300), 5: "the plain in spain and so on", 6: "Здравствуй, мир и все люди"}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id bigint, text string")
+    assert rows(language.with_language(docs, model), "doc_id") == [(1,), (2,), (5,)]
+    assert model.predict([texts[1]])[2][0] > 6  # bits per letter
+    small = language.Model({"en": LONG[:110]})
+    assert rows(language.with_language(docs, small), "doc_id") == [(5,)]
+
+
 def test_quality(spark, docs, empty):
     labels = spark.createDataFrame([(1, 1, 0), (4, 1, 0), (4, None, 0), (3, 0, 0), (None, 1, 0), (99, 1, 1)], "doc_id bigint, quality int, toxic int")
     trees = quality.train(docs, labels)
