@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from ledgerline.llm.licenses import SLACK, TEMPLATES
+
 URL_FILTERS = r"""
 WITH rules(rhost, rpath, verdict) AS (
   VALUES ('org', '/', 'allow'), ('example.org', '/es/', 'block'), ('example.org', '/en/1', 'block'),
@@ -114,9 +116,107 @@ SELECT page_id, warc_type, record_id, refers_to, target_uri, content_type, CAST(
 FROM named
 """
 
+_SEARCH_TERMS = r"regexp_extract_all(translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+
+LEXICAL_SEARCH = f"""
+WITH doc AS (
+  SELECT row_number() OVER () AS row, doc_id, {_SEARCH_TERMS.format('text')} AS w FROM documents WHERE text IS NOT NULL
+), sized AS (SELECT row, doc_id, w, len(w) AS n FROM doc WHERE len(w) > 0
+), whole AS (SELECT count(*) AS n_docs, CAST(sum(n) AS BIGINT) AS n_terms FROM sized
+), tf AS (
+  SELECT row, term, count(*) AS tf FROM (SELECT row, unnest(w) AS term FROM sized) GROUP BY ALL
+), weight AS (
+  SELECT term, CAST(floor(1000 * ln(CAST(2 * n_docs + 2 AS DOUBLE) / CAST(2 * df + 1 AS DOUBLE))) AS BIGINT) AS wt
+  FROM (SELECT term, count(*) AS df FROM tf GROUP BY term), whole
+), item AS (
+  SELECT q, item_id, term, count(*) AS times
+  FROM (SELECT q, item_id, unnest({_SEARCH_TERMS.format('text')}) AS term FROM (SELECT row_number() OVER () AS q, * FROM benchmark WHERE text IS NOT NULL))
+  GROUP BY ALL
+), scored AS (
+  SELECT q, item_id, row, any_value(doc_id) AS doc_id,
+         CAST(sum(times * wt * ((1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * n * n_docs) // n_terms)))) AS BIGINT) AS score
+  FROM item JOIN weight USING (term) JOIN tf USING (term) JOIN sized USING (row), whole GROUP BY q, item_id, row
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY q ORDER BY score DESC, doc_id NULLS FIRST) AS rank FROM scored WHERE score > 0
+)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM ranked WHERE rank <= 10
+"""
+
+
+def _literal(text: str) -> str:
+    return "'" + text.replace("'", "\'\'") + "'"
+
+
+_TEMPLATES = ", ".join(f"({i}, {_literal(t.label)}, {t.base}, {t.share}, {_literal(t.text)})" for i, t in enumerate(TEMPLATES))
+
+LICENSE_SCANS = f"""
+WITH template AS (
+  SELECT *, len(w) AS size, CASE WHEN len(w) >= 4 THEN 4 ELSE 2 END AS k, CASE WHEN share >= 1 THEN 0 ELSE {SLACK} END AS slack
+  FROM (SELECT t, label, base, share, {_WORDS.format('text')} AS w FROM (VALUES {_TEMPLATES}) AS v(t, label, base, share, text))
+), template_run AS (
+  SELECT t, k, j, array_to_string(w[j + 1:j + k], ' ') AS run FROM (SELECT t, k, w, unnest(range(0, size - k + 1)) AS j FROM template)
+), doc AS (
+  SELECT row_number() OVER () AS row, doc_id, {_WORDS.format("coalesce(text, '')")} AS w FROM documents
+), run AS (
+  SELECT row, k, i, array_to_string(w[i + 1:i + k], ' ') AS run
+  FROM (SELECT row, k, w, unnest(range(0, len(w) - k + 1)) AS i FROM doc, (VALUES (2), (4)) AS ks(k) WHERE len(w) >= k)
+), vote AS (
+  SELECT DISTINCT row, t, i - j AS diagonal, j FROM run JOIN template_run USING (k, run)
+), placed AS (
+  SELECT row, t, diagonal, sum(apart) OVER (PARTITION BY row, t ORDER BY diagonal) AS place
+  FROM (SELECT row, t, diagonal, CASE WHEN diagonal - lag(diagonal) OVER (PARTITION BY row, t ORDER BY diagonal) > slack THEN 1 ELSE 0 END AS apart
+        FROM (SELECT DISTINCT row, t, diagonal FROM vote) JOIN template USING (t))
+), covered AS (
+  SELECT row, t, place, min(diagonal + j) AS start, count(DISTINCT j + o) AS n
+  FROM vote JOIN placed USING (row, t, diagonal) JOIN template USING (t), range(4) AS r(o) WHERE o < k GROUP BY ALL
+), found AS (
+  SELECT row, label, base, start, CAST(n AS DOUBLE) / size AS share FROM covered JOIN template USING (t) WHERE n >= ceil(template.share * size)
+), said AS (
+  SELECT row, count(*) FILTER (base) AS n_base, min(start) FILTER (base) AS first_word, max(start) FILTER (base) AS last_word,
+         string_agg(DISTINCT label, ',' ORDER BY label) FILTER (base) AS base_labels, string_agg(DISTINCT label, ',' ORDER BY label) AS labels, max(share) AS score
+  FROM found GROUP BY row
+)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_base, 0) AS n_base, first_word, last_word,
+       coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels, coalesce(score, 0.0::DOUBLE) AS score
+FROM doc LEFT JOIN said USING (row)
+"""
+
+_LETTER_TERMS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')"
+
+SOURCE_DIVERGENCE = f"""
+WITH doc AS (
+  SELECT row_number() OVER () AS row, coalesce(lang, '') AS lang, coalesce(source, '') AS source, {_LETTER_TERMS} AS w FROM documents
+), held AS (
+  SELECT lang, source, term, count(*) AS n, count(DISTINCT row) AS n_docs FROM (SELECT row, lang, source, unnest(w) AS term FROM doc) GROUP BY ALL
+), kept AS (SELECT lang, term, sum(n) AS n FROM held GROUP BY ALL HAVING sum(n_docs) >= 30
+), lang AS (SELECT lang, count(*) AS V, sum(n) AS N FROM kept GROUP BY lang
+), grp AS (SELECT DISTINCT lang, source FROM doc
+), total AS (
+  SELECT lang, source, coalesce(sum(held.n), 0) AS N FROM grp LEFT JOIN (held SEMI JOIN kept USING (lang, term)) AS held USING (lang, source) GROUP BY ALL
+), dense AS (
+  SELECT lang, source, term, coalesce(held.n, 0) AS n,
+         1 + (CAST(1000000000 AS HUGEINT) * (coalesce(held.n, 0) + 5)) // (total.N + 5 * V) AS p,
+         1 + (CAST(1000000000 AS HUGEINT) * (kept.n + 5)) // (lang.N + 5 * V) AS q
+  FROM total JOIN lang USING (lang) JOIN kept USING (lang) LEFT JOIN held USING (lang, source, term)
+), apart AS (
+  SELECT a.lang, a.source, b.source AS item, sum(abs(a.p - b.p)) AS value
+  FROM dense AS a JOIN dense AS b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL
+), part AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(value, 0) AS value
+  FROM grp AS a JOIN grp AS b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN apart ON apart.lang = a.lang AND apart.source = a.source AND apart.item = b.source
+  UNION ALL
+  SELECT lang, source, 'term', term, p - q FROM dense WHERE n > 0 AND p > q
+), ranked AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM part)
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(rank AS INTEGER) AS rank FROM ranked WHERE part = 'pair' OR rank <= 50
+"""
+
 ORACLE = {
     "op1_url_filters": URL_FILTERS,
     "op2_chat_formatting": CHAT_FORMATTING,
     "op3_decontamination": DECONTAMINATION,
     "op5_warc_derivatives": WARC_DERIVATIVES,
+    "op11_lexical_search": LEXICAL_SEARCH,
+    "op12_license_scans": LICENSE_SCANS,
+    "op13_source_divergence": SOURCE_DIVERGENCE,
 }

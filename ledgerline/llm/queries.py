@@ -6,7 +6,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm import ann, bpe, chat, decontamination, language, quality, simhash, token_files, url_filters, warc
+from ledgerline.llm import (
+    ann, bpe, chat, decontamination, divergence, language, lexical, licenses, quality, simhash, token_files, url_filters, warc,
+)
 from ledgerline.sinks.files import Stage
 
 URL_RULES = [("org/", "allow"), ("example.org/es/", "block"), ("example.org/en/1", "block"), ("com/fr/", "allow"), ("com/de/", "block")]
@@ -88,10 +90,24 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.export(docs, WORD_TOKENIZER)[1]
 
 
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return lexical.search(docs, table(spark, sf_dir, "benchmark"), Stage(spark))
+
+
+def op12_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return licenses.summary(licenses.places(docs))
+
+
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents").select("lang", "source", "text"), Stage(spark))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_url_filters, op2_chat_formatting, op3_decontamination, op4_nearest_neighbours, op5_warc_derivatives,
-        op6_byte_bpe, op7_language_id, op8_quality_classifier, op9_simhash_dedup, op10_token_files,
+        op6_byte_bpe, op7_language_id, op8_quality_classifier, op9_simhash_dedup, op10_token_files, op11_lexical_search, op12_license_scans, op13_source_divergence,
     )
 }

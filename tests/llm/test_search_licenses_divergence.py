@@ -1,0 +1,222 @@
+"""Ranked search, license scans and the source audit against plain versions and odd inputs."""
+
+import math
+import re
+from collections import Counter, defaultdict
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from ledgerline.llm import divergence, lexical, licenses
+from ledgerline.sinks.files import Stage
+
+WORDS = "alpha beta gamma delta epsilon zeta eta theta iota kappa".split()
+
+
+def rows(df):
+    return sorted(map(tuple, df.collect()), key=repr)
+
+
+# ---- ranked search -------------------------------------------------------------------------
+
+
+def plain_search(docs, items, k=10):
+    """The scores by their formula, for every document and item."""
+    cut = [(i, re.findall("[0-9a-z\x80-\U0010ffff]+", "".join(c.lower() if c < "\x80" else c for c in t))) for i, t in docs if t]
+    cut = [(i, w) for i, w in cut if w]
+    n_docs, n_terms = len(cut), sum(len(w) for _, w in cut)
+    df = Counter(t for _, w in cut for t in set(w))
+    out = []
+    for item_id, text in items:
+        scores = []
+        for doc_id, w in cut:
+            m, counts, score = 25 + 75 * len(w) * n_docs // n_terms, Counter(w), 0
+            for t in re.findall("[0-9a-z\x80-\U0010ffff]+", "".join(c.lower() if c < "\x80" else c for c in text or "")):
+                if counts[t]:
+                    weight = math.floor(1000 * math.log((2 * n_docs + 2) / (2 * df[t] + 1)))
+                    score += weight * (1_000_000_000 * counts[t] // (1000 * counts[t] + 8 * m))
+            if score > 0:
+                scores.append((-score, doc_id is not None, doc_id or 0))
+        out += [(item_id, rank, i if has else None, -s) for rank, (s, has, i) in enumerate(sorted(scores)[:k], 1)]
+    return sorted(out, key=repr)
+
+
+def made_docs(n, seed):
+    chance = np.random.default_rng(seed)
+    return [(int(i), " ".join(chance.choice(WORDS, chance.integers(1, 30), p=np.arange(10, 0, -1) / 55))) for i in range(n)]
+
+
+ITEMS = [(1, "alpha kappa kappa iota"), (2, None), (3, ""), (4, "!!"), (5, "unheard of"), (1, "alpha kappa kappa iota"), (None, "Beta THETA")]
+
+
+@pytest.mark.parametrize(("postings", "block_bytes"), [(1_500_000, 4 << 20), (60, 20)])
+def test_search_equals_the_formula(spark, postings, block_bytes):
+    docs = [*made_docs(300, 1), (7, "alpha kappa"), (7, "alpha kappa"), (None, "kappa é alpha"), (None, "kappa"), (400, None), (401, ""), (402, "?")]
+    docs += [(500 + i, "kappa iota") for i in range(30)]  # ties beyond the tenth
+    table = spark.createDataFrame(docs, "doc_id bigint, text string").withColumns({"rank": F.lit("x"), "score": F.lit("x"), "n": F.lit("x"), "query": F.lit("x")})
+    items = spark.createDataFrame(ITEMS, "item_id int, text string").withColumns({"copies": F.lit("x"), "doc_id": F.lit("x")})
+    found = lexical.search(table.repartition(3), items, Stage(spark), shard_postings=postings, block_bytes=block_bytes)
+    assert found.columns == ["item_id", "rank", "doc_id", "score"]
+    assert rows(found) == plain_search(docs, ITEMS)
+
+
+def test_search_of_empty_tables(spark):
+    docs = spark.createDataFrame(made_docs(5, 2), "doc_id bigint, text string")
+    items = spark.createDataFrame(ITEMS, "item_id int, text string")
+    assert rows(lexical.search(docs.where("false"), items, Stage(spark))) == []
+    assert rows(lexical.search(docs, items.where("false"), Stage(spark))) == []
+    assert rows(lexical.search(docs.withColumn("text", F.lit(None).cast("string")), items, Stage(spark))) == []
+
+
+def test_search_reads_whole_long_texts(spark):
+    text = "filler " * 300_000 + "needle"
+    docs = spark.createDataFrame([(1, text), (2, "filler")], "doc_id bigint, text string")
+    items = spark.createDataFrame([(1, "needle")], "item_id int, text string")
+    assert rows(lexical.search(docs, items, Stage(spark))) == plain_search([(1, text), (2, "filler")], [(1, "needle")])
+
+
+def shard_of(counts_by_term):
+    """A shard whose documents all have one length; counts by term and document."""
+    n = len(counts_by_term[0])
+    held = [[(t, c[d]) for t, c in enumerate(counts_by_term) if c[d]] for d in range(n)]
+    flat = [x for h in held for x in h]
+    return lexical.Shard(
+        list(range(n)), np.full(n, 100), np.array([len(h) for h in held]), np.array([t for t, _ in flat], np.int64),
+        np.array([c for _, c in flat], np.int64), np.full(len(counts_by_term), 1000),
+    )
+
+
+def test_direct_access_moves_best_positions_past_the_last_row_read():
+    # The same documents lead both lists, in opposite order: reading two rows of each shows all four.
+    up, down = [9, 8, 7, 6, *[1] * 1000], [6, 7, 8, 9, *[1] * 1000]
+    best = []
+    assert shard_of([up, down]).search(lexical.Query(0, np.array([0, 1]), np.array([1, 1])), 4, best, first_rows=2) == 2
+    assert sorted(b[2] for b in best) == [0, 1, 2, 3]
+
+
+def test_reading_goes_on_while_unseen_documents_may_tie():
+    # All documents score alike: the smallest ids win, however far down they stand.
+    best = []
+    shard = shard_of([[3] * 500])
+    assert shard.search(lexical.Query(0, np.array([0]), np.array([2])), 5, best, first_rows=1) >= 500
+    assert [b[2] for b in best] == [0, 1, 2, 3, 4]
+
+
+def test_later_shards_stop_at_the_kth_score_of_earlier_ones():
+    best = [(-10**12, True, -i, i) for i in range(3)]
+    assert shard_of([[5] * 2000]).search(lexical.Query(0, np.array([0]), np.array([1])), 3, best, first_rows=1) == 1
+    assert all(b[0] == -10**12 for b in best)
+
+
+# ---- license scans -------------------------------------------------------------------------
+
+NOTICE = licenses.NOTICES[10].text
+
+
+@pytest.mark.parametrize("broadcast", [100_000, 0])
+def test_license_places(spark, monkeypatch, broadcast):
+    monkeypatch.setattr(licenses, "BROADCAST_RUNS", broadcast)
+    changed = NOTICE.replace("free of charge", "wholly free of any charge").replace("merge, publish", "publish")
+    texts = [
+        (1, "mit license, MIT-License\nmit\tlicense"), (2, "the MIT licenses"), (3, None), (4, ""), (5, "apache"), (None, "CC BY-NC 4.0"),
+        (6, f"x {changed} y"), (7, " ".join(NOTICE.split()[:30])), (8, "gnu general public gnu general public license version 3"),
+        (9, "cc by cc by"), (9, "cc by cc by"), (10, "word " * 200_000 + "apache license"), (11, "ümit license mit é license"),
+    ]
+    docs = spark.createDataFrame(texts, "doc_id bigint, text string").withColumns({"row": F.lit("x"), "places": F.lit("x"), "n_words": F.lit("x"), "run": F.lit("x")})
+    found = licenses.places(docs)
+    assert found.columns == ["doc_id", "n_words", "places"]
+    got = defaultdict(list)
+    for doc_id, n_words, places in found.collect():
+        got[doc_id].append((n_words, [(p.start, p.stop, p.label, p.base, round(p.share, 2)) for p in places]))
+    assert got[1] == [(6, [(i, i + 2, "mit", True, 1.0) for i in (0, 2, 4)])]
+    assert got[2] == [(3, [])] and got[3] == got[4] == [(0, [])] and got[5] == [(1, [])]
+    assert got[None] == [(5, [(0, 2, "cc-by", True, 1.0), (0, 3, "cc-by-nc", False, 1.0)])]
+    (n_words, (place,)), = got[6]
+    assert place[:4] == (1, n_words - 1, "mit", False) and place[4] > 0.85
+    assert got[7] == [(30, [])]
+    assert got[8] == [(9, [(3, 7, "gpl", True, 1.0), (3, 9, "gpl-3.0", False, 1.0)])]
+    assert got[9] == [(4, [(0, 2, "cc-by", True, 1.0), (2, 4, "cc-by", True, 1.0)])] * 2
+    assert got[10] == [(200_002, [(200_000, 200_002, "apache", True, 1.0)])]
+    assert got[11] == [(5, [])]
+    told = {r.doc_id: r for r in licenses.summary(found).collect()}
+    assert tuple(told[1]) == (1, 6, 3, 0, 4, "mit", "mit", 1.0)
+    assert tuple(told[2]) == (2, 3, 0, None, None, "", "", 0.0)
+    assert (told[8].base_labels, told[8].labels) == ("gpl", "gpl,gpl-3.0")
+    assert rows(licenses.places(docs.where("false"))) == []
+
+
+def test_votes_need_equal_words_not_only_equal_hashes(spark, monkeypatch):
+    monkeypatch.setattr(licenses, "rolling", lambda hashes, size: np.zeros(max(0, len(hashes) - size + 1), np.int64))
+    docs = spark.createDataFrame([(1, "one two mit license three")], "doc_id bigint, text string")
+    (found,) = licenses.places(docs, licenses.PHRASES).collect()
+    assert [(p.start, p.label) for p in found.places] == [(2, "mit")]
+
+
+def test_templates_of_one_word_are_refused(spark):
+    docs = spark.createDataFrame([(1, "mit")], "doc_id bigint, text string")
+    for templates in ([licenses.Template("mit", "mit")], []):
+        with pytest.raises(ValueError):
+            licenses.places(docs, templates)
+
+
+# ---- source divergence ---------------------------------------------------------------------
+
+
+def plain_audit(docs, min_docs, top):
+    groups, held, n_docs = defaultdict(Counter), defaultdict(Counter), defaultdict(Counter)
+    for lang, source, text in docs:
+        terms = re.findall("[a-z\x80-\U0010ffff]+", "".join(c.lower() if c < "\x80" else c for c in text or ""))
+        lang, source = lang or "", source or ""
+        groups[lang][source] += 1
+        held[lang, source].update(terms)
+        n_docs[lang].update(set(terms))
+    out = []
+    for lang, sources in groups.items():
+        kept = [t for t, n in n_docs[lang].items() if n >= min_docs]
+        total = {s: sum(held[lang, s][t] for t in kept) for s in sources}
+
+        def share(count, n):
+            return 1 + 1_000_000_000 * (count + 5) // (n + 5 * len(kept))
+
+        for s in sources:
+            apart = [(-sum(abs(share(held[lang, s][t], total[s]) - share(held[lang, o][t], total[o])) for t in kept), o.encode(), o) for o in sources if o != s]
+            out += [(lang, s, "pair", o, -v, r) for r, (v, _, o) in enumerate(sorted(apart), 1)]
+            n = sum(total.values())
+            more = [(share(sum(held[lang, o][t] for o in sources), n) - share(held[lang, s][t], total[s]), t.encode(), t) for t in kept if held[lang, s][t]]
+            out += [(lang, s, "term", t, -v, r) for r, (v, _, t) in enumerate(sorted(m for m in more if m[0] < 0)[:top], 1)]
+    return sorted(out, key=repr)
+
+
+def audit_docs():
+    chance = np.random.default_rng(5)
+    docs = [("en", f"s{chance.integers(7)}", " ".join(chance.choice(WORDS, 12))) for _ in range(120)]
+    docs += [("en", "big", "alpha Ünder ALPHA 12")] * 60
+    docs += [("de", f"s{i % 3}", " ".join(chance.choice(WORDS, 5))) for i in range(30)]
+    docs += [(None, None, "alpha"), ("", "x", "beta"), ("en", None, None), ("en", "silent", ""), ("fr", "a", None), ("fr", "b", "!"), ("it", "lone", "beta beta")]
+    return docs + [("en", "s1", "alpha " * 50_000)]
+
+
+@pytest.mark.parametrize("small", [False, True])
+def test_audit_equals_the_plain_sums(spark, monkeypatch, small):
+    if small:
+        monkeypatch.setattr(divergence, "BLOCK_SOURCES", 2)
+        monkeypatch.setattr(divergence, "SLICE_ENTRIES", 2)
+        monkeypatch.setattr(divergence, "HELD", 3)
+        monkeypatch.setattr(divergence, "MET", 4)
+    docs = audit_docs()
+    table = spark.createDataFrame(docs, "lang string, source string, text string").withColumns({"term": F.lit("x"), "n": F.lit("x"), "value": F.lit("x"), "slice": F.lit(3)})
+    found = divergence.audit(table.repartition(4), Stage(spark), min_docs=8, top=4)
+    assert found.columns == ["lang", "source", "part", "item", "value", "rank"]
+    assert rows(found) == plain_audit(docs, 8, 4)
+
+
+def test_audit_of_an_empty_table(spark):
+    assert rows(divergence.audit(spark.createDataFrame([], "lang string, source string, text string"), Stage(spark))) == []
+
+
+def test_scatter_never_pairs_postings_in_a_table(spark, sf_dir):
+    """The only join is with the groups; pairs of sources come from the accumulators."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    plan = divergence.audit(docs, Stage(spark))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join") == 2 and "FlatMapGroupsInArrow" in plan  # entries with groups, once per part
