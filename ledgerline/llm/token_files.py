@@ -15,9 +15,12 @@ repeated attempts are never read. File systems are those that pyarrow opens by U
 from __future__ import annotations
 
 import functools
+import json
 import os
+import re
 import uuid
 import zlib
+from array import array
 from collections.abc import Iterator
 from itertools import chain
 
@@ -40,24 +43,51 @@ END_ID = 1
 YOUNG = 300_000
 #: New words that the tokenizer gets as one text.
 LINES = 1000
+# The normalizer and the splits under which words are tokenised alone.
+NORMALIZER = {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]}
+SPLITS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+PRE_TOKENIZER = {"type": "Sequence", "pretokenizers": [
+    {"type": "Split", "pattern": {"Regex": SPLITS}, "behavior": "Removed", "invert": True},
+    {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+]}
+#: Words of ASCII characters and the letters from U+00C0 to U+00FF, which no normalization
+#: changes but lower case; and the splits above within these characters.
+PLAIN = re.compile(rb"(?:[!-~]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+")
+PIECES = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-zß-öø-ÿ0-9\n]+|\n")
+#: Byte-level spelling: bytes that are no printable Latin-1 character become U+0100 and on.
+SPELLING = {b: 256 + i for i, b in enumerate([*range(33), *range(127, 161), 173])}
 MANIFEST = "part int, path string, n_docs bigint, n_tokens bigint, n_sequences bigint"
 DOCUMENT = "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint"
 
 
 class Encoder:
-    """The tokenizer, asked once per word between white space.
+    """The tokenizer, asked once per word between white space, or even per piece of a word.
 
-    The vocabularies this is for drop white space before they match, so words are
-    independent; ``tests`` compare with whole texts."""
+    A tokenizer with the normalizer and the splits named above drops white space before it
+    matches, so words are independent and are remembered. Of a word in plain letters, digits and
+    marks the splits are known too: its pieces go straight to the tokenizer's model. Any other
+    word goes through the whole tokenizer, as do whole texts under any other tokenizer.
+    ``tests`` compare with whole texts."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark already runs a task per core
         self.tokenizer = Tokenizer.from_file(path)
+        self.model = self.tokenizer.model
         self.kind = np.uint16 if self.tokenizer.get_vocab_size(with_added_tokens=True) <= 1 << 16 else np.uint32
+        config = json.loads(self.tokenizer.to_str())
+        self.added = [t["content"].encode() for t in config["added_tokens"]]
+        self.by_words = (
+            [config[k] for k in ("normalizer", "pre_tokenizer", "truncation", "padding")] == [NORMALIZER, PRE_TOKENIZER, None, None]
+            and not any(t.split() != [t] for t in self.added)
+            and not any(t["lstrip"] or t["rstrip"] for t in config["added_tokens"])
+        )
         self.young: dict[bytes, bytes] = {}
         self.old: dict[bytes, bytes] = {}
+        self.pieces: dict[str, bytes] = {}
 
     def encode(self, texts: list[bytes]) -> list[np.ndarray]:
+        if not self.by_words:
+            return [np.array(self.tokenizer.encode(t.decode(), add_special_tokens=False).ids, self.kind) for t in texts]
         # bytes.split() cuts at ASCII white space only; other white space stays in a word.
         cut = [t.split() for t in texts]
         new = set().union(*cut).difference(self.young) if cut else set()
@@ -68,10 +98,35 @@ class Encoder:
         out = [np.frombuffer(b"".join(map(get, c)), self.kind) for c in cut]
         if len(self.young) > YOUNG:
             self.old, self.young = self.young, {}
+        if len(self.pieces) > YOUNG:
+            self.pieces = {}
         return out
 
-
     def learn(self, words: list[bytes]) -> None:
+        """Ids of new words: plain ones from their pieces, others by the whole tokenizer."""
+        added = re.compile(b"|".join(map(re.escape, self.added))).search if self.added else lambda word: None
+        plain = [w for w in words if PLAIN.fullmatch(w) and not added(w)]
+        if len(plain) < len(words):
+            self.learn_lines(list(set(words).difference(plain)))
+        if not plain:
+            return
+        # All words at once, a line each: the line ends stay among the pieces and have no ids.
+        pieces = PIECES.findall(b"\n".join([*plain, b""]).decode().lower())
+        self.pieces["\n"] = b""
+        for piece in set(pieces).difference(self.pieces):
+            self.pieces[piece] = self.piece(piece)
+        coded = [*map(self.pieces.__getitem__, pieces)]
+        places = np.cumsum(np.fromiter(map(len, coded), np.int64, len(coded)))
+        ends = places[[i for i, p in enumerate(pieces) if p == "\n"]].tolist()
+        data = b"".join(coded)
+        self.young.update(zip(plain, [data[a:b] for a, b in zip([0, *ends], ends)]))
+
+    def piece(self, piece: str) -> bytes:
+        """Ids that the model gives one piece, which it reads as bytes spelled in letters."""
+        spelled = piece if piece.isascii() else piece.encode().decode("latin-1").translate(SPELLING)
+        return array(np.dtype(self.kind).char, [t.id for t in self.model.tokenize(spelled)]).tobytes()
+
+    def learn_lines(self, words: list[bytes]) -> None:
         """Tokenise new words a line each, many lines at a time; a token's place names its word."""
         for at in range(0, len(words), LINES):
             lines = [w.decode() for w in words[at : at + LINES]]
