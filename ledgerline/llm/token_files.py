@@ -204,6 +204,8 @@ class FileWriter:
 
 
 def _opened(uri: str) -> tuple[pafs.FileSystem, str]:
+    """File system and path; Hadoop's names of the S3 scheme are read as pyarrow's."""
+    uri = re.sub("^s3[an]://", "s3://", uri)
     return pafs.FileSystem.from_uri(uri if "://" in uri or uri.startswith("file:") else f"file://{uri}")
 
 
@@ -239,8 +241,9 @@ def write(docs: DataFrame, tokenizer_path: str, folder: str, stage: Stage, end_i
             kinds = [pa.int32(), pa.string(), pa.int64(), pa.int64(), pa.int64()]
             yield pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(row, kinds)], ["part", "path", "n_docs", "n_tokens", "n_sequences"])
 
-    order = ["doc_id", "_hash"]
-    placed = docs.select("doc_id", "text", F.xxhash64("text").alias("_hash")).repartitionByRange(*order)
+    # Rows alike in both may be many, so a third key lets ranges cut between them.
+    order = ["doc_id", "_hash", "_row"]
+    placed = docs.select("doc_id", "text", F.xxhash64("text").alias("_hash"), F.monotonically_increasing_id().alias("_row")).repartitionByRange(*order)
     ordered = placed.sortWithinPartitions(*order).select("doc_id", "text")
     return stage.save(ordered.mapInArrow(written, MANIFEST), "manifest")
 

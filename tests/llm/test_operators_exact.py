@@ -123,6 +123,37 @@ def test_words_tokenise_alone_as_in_whole_texts():
         assert own.encode([text.encode()])[0].tolist() == own.tokenizer.encode(text, add_special_tokens=False).ids
 
 
+def test_words_of_pieces_tokenise_as_whole_texts():
+    own, chance = token_files.Encoder(WORD_TOKENIZER), np.random.default_rng(3)
+    assert own.by_words
+    letters = [*map(chr, range(33, 127)), *map(chr, range(0xC0, 0x100)), "'s", "'t", "'LL", "ΐ", "́", "½", "İ"]
+    made = [" ".join("".join(chance.choice(letters, chance.integers(1, 9))) for _ in range(400)) for _ in range(30)]
+    for text, ids in zip(made, own.encode([t.encode() for t in made])):
+        assert ids.tolist() == own.tokenizer.encode(text, add_special_tokens=False).ids
+
+
+def test_other_tokenizers_read_whole_texts():
+    own = token_files.Encoder(public_tokenizers.path("byte_bpe_50k.json"))
+    assert not own.by_words
+    for text in ODD_TEXTS:
+        assert own.encode([text.encode()])[0].tolist() == own.tokenizer.encode(text, add_special_tokens=False).ids
+
+
+def test_repeats_of_one_document_fill_several_files(spark, tmp_path):
+    docs = spark.range(4000).select(F.lit(7).cast("bigint").alias("doc_id"), F.lit("the same text again").alias("text")).repartition(8)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        manifest, found = token_files.export(docs, WORD_TOKENIZER, folder=str(tmp_path), length=64)
+        assert manifest.count() > 1 and found.count() == 4000
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
+def test_s3_names_of_hadoop_are_understood():
+    for scheme in ("s3", "s3a", "s3n"):
+        assert token_files._opened(f"{scheme}://bucket/folder?region=us-east-1")[1] == "bucket/folder"
+
+
 def test_sequences_are_views_of_the_file(spark, sf_dir, tmp_path):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text").limit(40)
     manifest, found = token_files.export(docs, WORD_TOKENIZER, folder=str(tmp_path), length=64)
