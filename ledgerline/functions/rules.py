@@ -19,8 +19,14 @@ def text_sql(value: object) -> str:
     return f"'{escaped}'"
 
 
+class Sql(str):
+    """SQL text that stands for itself where a plain string would be a value."""
+
+
 def day_sql(as_of: datetime.date | str | None) -> str:
     """Run day as SQL; ``current_date()`` keeps a persistent view fresh."""
+    if isinstance(as_of, Sql):
+        return f"({as_of})"
     return "current_date()" if as_of is None else f"DATE {text_sql(as_of)}"
 
 

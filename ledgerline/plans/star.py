@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -17,6 +19,7 @@ from ledgerline.schemas import (
     DIM_DATE,
     DIM_LOCATION,
     FACT,
+    PARTITIONS,
     SOURCE_ID,
 )
 from ledgerline.sinks.files import Stage
@@ -72,23 +75,38 @@ def ranked_transactions(flat: DataFrame, stage: Stage) -> DataFrame:
     return stage.save(unique.join(numbers, "_key").drop("_key"), "unique")
 
 
-def dim_location(ranked: DataFrame) -> DataFrame:
+def dated(ranked: DataFrame) -> DataFrame:
+    """With the columns that loaded tables are partitioned by (0 without a date)."""
+    parts = [F.coalesce(part("date"), F.lit(0)) for part in (F.year, F.month)]
+    return ranked.withColumns(dict(zip(PARTITIONS, parts)))
+
+
+def dim_location(ranked: DataFrame, extra: Sequence[str] = ()) -> DataFrame:
     """One location per transaction, numbered 1..n."""
-    return ranked.select(*DIM_LOCATION)
+    return ranked.select(*DIM_LOCATION, *extra)
 
 
 def fact_transactions(
-    ranked: DataFrame, dates: DataFrame, categories: DataFrame, grain: str = "primary"
+    ranked: DataFrame,
+    dates: DataFrame,
+    categories: DataFrame,
+    grain: str = "primary",
+    extra: Sequence[str] = (),
 ) -> DataFrame:
     """The fact and :func:`dim_location` project the same numbered frame, so their
     location ids agree without any join by position."""
     fact = attach_key(ranked, dates, ["date"], "date_id")
     fact = attach_key(fact, categories, GRAINS[grain], "category_id")
-    return fact.withColumn("transaction_id", F.col(SOURCE_ID)).select(*FACT)
+    return fact.withColumn("transaction_id", F.col(SOURCE_ID)).select(*FACT, *extra)
+
 
+def build_star(
+    flat: DataFrame, stage: Stage, grain: str = "primary", partitioned: bool = False
+) -> dict[str, DataFrame]:
+    """The five tables. Staged: the unique transactions and the small dimensions.
 
-def build_star(flat: DataFrame, stage: Stage, grain: str = "primary") -> dict[str, DataFrame]:
-    """The five tables. Staged: the unique transactions and the small dimensions."""
+    ``partitioned`` gives the two large tables their partition columns, at the end."""
+    extra = PARTITIONS if partitioned else ()
     ranked = ranked_transactions(flat, stage)
     dims = stage.save_all(
         {
@@ -97,5 +115,6 @@ def build_star(flat: DataFrame, stage: Stage, grain: str = "primary") -> dict[st
             "dim_category": dim_category(ranked, grain),
         }
     )
-    fact = fact_transactions(ranked, dims["dim_date"], dims["dim_category"], grain)
-    return {**dims, "dim_location": dim_location(ranked), "fact_transactions": fact}
+    ranked = dated(ranked) if partitioned else ranked
+    fact = fact_transactions(ranked, dims["dim_date"], dims["dim_category"], grain, extra)
+    return {**dims, "dim_location": dim_location(ranked, extra), "fact_transactions": fact}

@@ -199,4 +199,13 @@ ANALYTICS_VIEW = [
     "amount_bucket",
 ]
 
+# Partitions of the loaded fact and location tables: of the transaction's date, 0 without one.
+PARTITIONS = ["date_year", "date_month"]
 STAR_TABLES = ["dim_account", "dim_date", "dim_category", "dim_location", "fact_transactions"]
+STAR_COLUMNS = {
+    "dim_account": DIM_ACCOUNT,
+    "dim_date": DIM_DATE,
+    "dim_category": DIM_CATEGORY,
+    "dim_location": DIM_LOCATION,
+    "fact_transactions": FACT,
+}

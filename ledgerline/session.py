@@ -24,6 +24,9 @@ def build_session(app_name: str = "ledgerline", master: str | None = None, **con
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
+        # The views join the large tables by location and partition columns; the buckets are by
+        # location alone, which is enough to leave both where they are.
+        "spark.sql.requireAllClusterKeysForCoPartition": "false",
         **conf,
     }
     for key, value in settings.items():

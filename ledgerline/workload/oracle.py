@@ -381,17 +381,33 @@ ORACLE: dict[str, str] = {
         "dim_account",
         "dim_date",
     ),
-    "load_star_tables": sql(f"SELECT {cols(FACT)} FROM fact", "fact"),
-    "model_views": sql(f"SELECT {cols(DIM_LOCATION)} FROM dim_location", "dim_location"),
+    "newest_delivery": from_raw(FLAT_FIELDS, "WHERE payment_channel = 'online'"),
+    "load_star_tables": sql(
+        f"SELECT {cols(FACT, 'f.')}, {cols(LOCATION, 'l.')}, {cols(CATEGORY, 'c.')}, {cols(DATE_PARTS, 'd.')}, d.date, "
+        "a.account_pk, a.account_owner FROM fact f LEFT JOIN dim_location l ON f.location_id = l.location_id "
+        "LEFT JOIN dim_category c ON f.category_id = c.category_id LEFT JOIN dim_date d ON f.date_id = d.date_id "
+        "LEFT JOIN dim_account a ON f.account_id = a.account_id",
+        "fact",
+        "dim_location",
+        "dim_category",
+        "dim_date",
+        "dim_account",
+    ),
+    "model_views": sql(
+        f"SELECT {cols(MART_FACT, 'm.')}, {cols(DIM_DATE[1:], 'd.')} FROM mart_fact m LEFT JOIN dim_date d ON m.date_id = d.date_id",
+        "mart_fact",
+        "dim_date",
+    ),
     "batch_run": sql(f"SELECT {cols(ANALYTICS_VIEW)} FROM analytics", "analytics"),
     "load_dump": sql(
-        f"SELECT f.{SOURCE_ID}, l.city, d.date, c.category_primary FROM fact f "
-        "JOIN dim_location l USING (location_id) JOIN dim_date d USING (date_id) "
-        "JOIN dim_category c USING (category_id)",
+        f"SELECT f.{SOURCE_ID}, l.city, d.date, c.category_primary, f.account_id, a.account_owner FROM fact f "
+        "LEFT JOIN dim_location l USING (location_id) LEFT JOIN dim_date d USING (date_id) "
+        "LEFT JOIN dim_category c USING (category_id) LEFT JOIN dim_account a USING (account_id)",
         "fact",
         "dim_location",
         "dim_date",
         "dim_category",
+        "dim_account",
     ),
     "reject_broken_lines": from_raw(
         "CASE WHEN transaction_id LIKE '%-7' THEN 'rejected' ELSE 'sound' END AS kind, "

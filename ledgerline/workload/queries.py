@@ -21,11 +21,13 @@ from ledgerline.schemas import (
     ACCOUNT_OWNERS,
     CATEGORY,
     DATE_PARTS,
+    FACT,
     LOCATION,
     SOURCE_ID,
     STAR_TABLES,
 )
 from ledgerline.sinks import files as sinks
+from ledgerline.sinks import published as publication
 from ledgerline.sinks import tables as catalog
 from ledgerline.sources import files as sources
 from ledgerline.workload.records import NAMES, nested, nested_full, owners, records, table
@@ -69,9 +71,12 @@ def tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
 def published(spark: SparkSession, sf_dir: str) -> str:
     """Database of the models over loaded, bucketed tables."""
     database = scratch_database(spark)
-    names = catalog.load_tables(tables(spark, sf_dir), database, suffix="__1")
-    catalog.point_views(spark, database, names)
-    marts.publish_models(spark, database, f"{database}_marts", AS_OF)
+    built = star.build_star(flat(spark, sf_dir), sinks.Stage(spark), partitioned=True)
+    names = catalog.load_tables(built, database, suffix="__1").names
+    publication.point_to(spark, database, "1", AS_OF)
+    publication.show_runs(spark, database, {"1": names})
+    publication.create_tables(spark, database)
+    marts.create_models(spark, database, f"{database}_marts")
     return f"{database}_marts"
 
 
@@ -131,6 +136,17 @@ def latest_extract(spark, sf_dir):
     return unnested(sources.latest_extract(spark, stage))
 
 
+@query
+def newest_delivery(spark, sf_dir):
+    """The earlier of two days is delivered again, after the later one."""
+    stage = sinks.new_folder(spark, "extract")
+    feed = nested_full(records(spark, sf_dir))
+    sinks.write_jsonl(feed.where("payment_channel = 'none'"), f"{stage}/run_date={DAY_BEFORE}")
+    for day in (AS_OF, DAY_BEFORE):
+        sinks.write_jsonl(feed.where(by_channel() == day), f"{stage}/run_date={day}")
+    return unnested(sources.latest_extract(spark, stage))
+
+
 def channel_days(spark: SparkSession, sf_dir: str) -> DataFrame:
     feed = records(spark, sf_dir, "transaction_id", "amount", "payment_channel")
     return feed.withColumn("run_date", by_channel().cast("date"))
@@ -197,18 +213,23 @@ def truncate_then_count(spark, sf_dir):
 
 @query
 def load_star_tables(spark, sf_dir):
-    """The fact as loaded; the second load replaces the first."""
+    """All five tables as loaded; the second load replaces the first."""
     built = tables(spark, sf_dir)
     database = scratch_database(spark)
     for _ in range(2):
-        names = catalog.load_tables(built, database)
-    return spark.table(names["fact_transactions"])
+        loaded = catalog.load_tables(built, database)
+    fact, *dims = (spark.table(loaded.names[t]) for t in reversed(STAR_TABLES))
+    for dim, key in zip(dims, ("location_id", "category_id", "date_id", "account_id")):
+        fact = fact.join(one_row_per_account(dim) if key == "account_id" else dim, key, "left")
+    return wide_ints(fact.select(*FACT, *LOCATION, *CATEGORY, *DATE_PARTS, "date", "account_pk", "account_owner"))
 
 
 @query
 def model_views(spark, sf_dir):
-    """The location model as published: a view over a view over a loaded table."""
-    return spark.table(f"{published(spark, sf_dir)}.dim_location")
+    """The staged model as published, with all of its date, from the other models' views."""
+    views = published(spark, sf_dir)
+    days = spark.table(f"{views}.dim_date")
+    return wide_ints(spark.table(f"{views}.stg_transactions").join(days, "date_id", "left"))
 
 
 def write_extract(spark: SparkSession, sf_dir: str) -> str:
@@ -241,9 +262,10 @@ def load_dump(spark, sf_dir):
     dumps = {name: spark.read.parquet(f"{out}/load/run_date={AS_OF}/*/{name}") for name in STAR_TABLES}
     fact, place = dumps["fact_transactions"], dumps["dim_location"]
     day, kind = dumps["dim_date"], dumps["dim_category"]
-    named = fact.join(place, "location_id").join(day, "date_id").join(kind, "category_id")
-    known = dumps["dim_account"].select("account_id").distinct()
-    return named.join(known, "account_id").select(SOURCE_ID, "city", "date", "category_primary")
+    for dim, key in ((place, "location_id"), (day, "date_id"), (kind, "category_id")):
+        fact = fact.join(dim, key, "left")
+    named = fact.join(one_row_per_account(dumps["dim_account"]), "account_id", "left")
+    return named.select(SOURCE_ID, "city", "date", "category_primary", "account_id", "account_owner")
 
 
 @query
@@ -620,26 +642,22 @@ def mart_fact(spark, sf_dir):
 
 @query
 def mart_dim_account(spark, sf_dir):
-    dims = {"dim_account": star.dim_account(ranked(spark, sf_dir)[0])}
-    return marts.run_sql(marts.dim_account_sql(), dims)
+    return spark.table(f"{published(spark, sf_dir)}.dim_account")
 
 
 @query
 def mart_dim_category(spark, sf_dir):
-    dims = {"dim_category": star.dim_category(ranked(spark, sf_dir)[0])}
-    return marts.run_sql(marts.dim_category_sql(), dims)
+    return spark.table(f"{published(spark, sf_dir)}.dim_category")
 
 
 @query
 def mart_dim_date(spark, sf_dir):
-    dims = {"dim_date": star.dim_date(ranked(spark, sf_dir)[0])}
-    return wide_ints(marts.run_sql(marts.dim_date_sql(), dims))
+    return wide_ints(spark.table(f"{published(spark, sf_dir)}.dim_date"))
 
 
 @query
 def mart_dim_location(spark, sf_dir):
-    dims = {"dim_location": star.dim_location(ranked(spark, sf_dir)[0])}
-    return marts.run_sql(marts.dim_location_sql(), dims)
+    return spark.table(f"{published(spark, sf_dir)}.dim_location")
 
 
 @query

@@ -15,10 +15,12 @@ from ledgerline.schemas import (
     DIM_LOCATION,
     FACT,
     MART_FACT,
+    PARTITIONS,
     SOURCE_ID,
     STAR_TABLES,
     TRANSFORMED,
 )
+from ledgerline.sinks import journal, published
 from ledgerline.sinks import tables as catalog
 from ledgerline.sinks.files import Stage, new_folder, write_jsonl
 from ledgerline.sources.files import latest_run_date, read_jsonl, spread
@@ -137,22 +139,29 @@ def test_broken_line_keeps_its_text(spark, tmp_path):
     assert (kept.transaction_id, kept.amount, kept.location.lat) == ("1", 2.5, "1.5")
 
 
-def test_views_over_bucketed_tables_join_without_a_shuffle(spark, built):
+def test_views_over_bucketed_tables_join_without_a_shuffle(spark, flat, built):
     """Fact and location dimension are both large: neither moves when joined."""
+    partitioned = star.build_star(flat, Stage(spark), partitioned=True)
     name = "ledger_bucketed"
     catalog.create_database(spark, name, new_folder(spark, name))
-    names = catalog.load_tables(built, name, "__1", buckets=4)
-    catalog.point_views(spark, name, names)
-    marts.publish_models(spark, name, f"{name}_marts", DAY)
+    loaded = catalog.load_tables(partitioned, name, "__1", buckets=2)
+    names = loaded.names
+    assert loaded.counts == {table: built[table].count() for table in STAR_TABLES}
+    published.point_to(spark, name, "1", DAY)
+    published.show_runs(spark, name, {"1": names})
+    published.create_tables(spark, name)
+    marts.create_models(spark, name, f"{name}_marts")
     keys = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
     for key in keys:
         spark.conf.set(key, "-1")
     try:
-        joined = spark.table(names["fact_transactions"]).join(
-            spark.table(names["dim_location"]), "location_id", "left"
-        )
-        joined.write.format("noop").mode("overwrite").save()
-        assert "Exchange" not in joined._jdf.queryExecution().executedPlan().toString()
+        # The plain join, and the one that the views make.
+        for key in (["location_id"], ["location_id", *PARTITIONS]):
+            joined = spark.table(names["fact_transactions"]).join(
+                spark.table(names["dim_location"]), key, "left"
+            )
+            joined.write.format("noop").mode("overwrite").save()
+            assert "Exchange" not in joined._jdf.queryExecution().executedPlan().toString()
     finally:
         for key in keys:
             spark.conf.unset(key)
@@ -239,7 +248,7 @@ def test_batch_run(spark, sf_dir, extracts, tmp_path, flat):
         batch.run(spark, extracts, out, owners=people, as_of=DAY, buckets=3, **args)
         assert sorted(spark.table("ledger_run_marts.analytics_view").collect(), key=repr) == rows
     # Only the last run is left, and everything of it lies below ``out``.
-    assert len(batch.runs(spark, out)) == 1
+    assert len(batch.runs(spark, out)) == 1 and len(journal.entries(spark, out)) == 3
     stored = [t.name for t in spark.catalog.listTables("ledger_run") if t.tableType == "MANAGED"]
     assert len(stored) == len(STAR_TABLES)
     for name in stored:
