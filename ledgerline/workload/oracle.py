@@ -359,6 +359,12 @@ SUITE = [
 DATE = "CAST(date AS DATE)"
 ODD = "(CAST(right(transaction_id, 1) AS INTEGER) % 5)"
 
+PER_KEY = (
+    "(SELECT transaction_id, count(*) AS n, count(*) FILTER (WHERE amount IS NULL) AS no_amount, "
+    "count(*) FILTER (WHERE merchant_entity_id IS NULL) AS no_merchant, "
+    "('0x' || substr(md5(transaction_id), 1, 7))::BIGINT % 8 AS part FROM raw GROUP BY transaction_id) AS per_key"
+)
+
 ORACLE: dict[str, str] = {
     # sources and sinks
     "scan_jsonl": from_raw(FLAT_FIELDS),
@@ -382,6 +388,15 @@ ORACLE: dict[str, str] = {
         "dim_date",
     ),
     "newest_delivery": from_raw(FLAT_FIELDS, "WHERE payment_channel = 'online'"),
+    "schema_drift": sql(
+        "SELECT CAST(NULL AS VARCHAR) AS path, 'broken' AS drift, CAST(NULL AS VARCHAR) AS expected, 'broken' AS found, count(*) AS n_values "
+        "FROM raw WHERE transaction_id LIKE '%5' "
+        "UNION ALL SELECT 'pending', 'lost', 'boolean', NULL, 0 "
+        "UNION ALL SELECT 'amount', 'retyped', 'number', 'string', count(*) FROM raw WHERE transaction_id LIKE '%7' AND amount IS NOT NULL "
+        "UNION ALL SELECT 'loyalty', 'new', NULL, 'object', count(*) FROM raw WHERE transaction_id LIKE '%3' "
+        "UNION ALL SELECT 'loyalty.tier', 'new', NULL, 'string', count(*) FROM raw WHERE transaction_id LIKE '%3'",
+        "raw",
+    ),
     "load_star_tables": sql(
         f"SELECT {cols(FACT, 'f.')}, {cols(LOCATION, 'l.')}, {cols(CATEGORY, 'c.')}, {cols(DATE_PARTS, 'd.')}, d.date, "
         "a.account_pk, a.account_owner FROM fact f LEFT JOIN dim_location l ON f.location_id = l.location_id "
@@ -576,5 +591,20 @@ ORACLE: dict[str, str] = {
         " UNION ALL ".join(unique_test("raw", c, "raw") for c in ("transaction_id", "merchant_entity_id")),
         "raw",
     ),
+    "dq_violations": sql(
+        " UNION ALL ".join(
+            f"SELECT 'raw' AS model, '{column}' AS \"column\", '{test}' AS test, "
+            f"coalesce((SELECT {total} FROM {PER_KEY} WHERE {broken}), 0)::BIGINT AS violations, "
+            f"coalesce((SELECT string_agg(k, ',' ORDER BY k) FROM (SELECT min(transaction_id) AS k FROM {PER_KEY} "
+            f"WHERE {broken} GROUP BY part)), '') AS sample"
+            for column, test, broken, total in (
+                ("transaction_id", "not_null", "transaction_id IS NULL", "sum(n)"),
+                ("transaction_id", "unique", "n > 1", "count(*)"),
+                ("amount", "not_null", "no_amount > 0", "sum(no_amount)"),
+                ("merchant_entity_id", "not_null", "no_merchant > 0", "sum(no_merchant)"),
+            )
+        ),
+        "raw",
+    ),
     "dq_suite": sql(" UNION ALL ".join(SUITE), *VIEWS.values()),
 }

@@ -23,12 +23,14 @@ from ledgerline.schemas import (
     DATE_PARTS,
     FACT,
     LOCATION,
+    RAW_FULL,
     SOURCE_ID,
     STAR_TABLES,
 )
 from ledgerline.sinks import files as sinks
 from ledgerline.sinks import published as publication
 from ledgerline.sinks import tables as catalog
+from ledgerline.sources import discovery
 from ledgerline.sources import files as sources
 from ledgerline.workload.records import NAMES, nested, nested_full, owners, records, table
 
@@ -147,6 +149,22 @@ def newest_delivery(spark, sf_dir):
     return unnested(sources.latest_extract(spark, stage))
 
 
+@query
+def schema_drift(spark, sf_dir):
+    """A feed with amounts as text, a field that nobody knows, one that is gone, and cut lines."""
+    feed = nested_full(records(spark, sf_dir))
+    fields = [F.col(c) for c in feed.columns if c not in ("amount", "pending")]
+    last = F.substring("transaction_id", -1, 1)
+    tier = F.when(last == "3", F.struct(F.lit("gold").alias("tier"))).alias("loyalty")
+    number = F.to_json(F.struct(*fields, tier, "amount"), {"ignoreNullFields": "false"})
+    text_amount = F.col("amount").cast("string").alias("amount")
+    as_text = F.to_json(F.struct(*fields, tier, text_amount), {"ignoreNullFields": "false"})
+    line = F.when(last == "7", as_text).when(last == "5", F.substring(number, 1, 40)).otherwise(number)
+    path = sinks.new_folder(spark, "jsonl")
+    feed.select(line).write.text(path)
+    return discovery.drift_report(spark, path, RAW_FULL)
+
+
 def channel_days(spark: SparkSession, sf_dir: str) -> DataFrame:
     feed = records(spark, sf_dir, "transaction_id", "amount", "payment_channel")
     return feed.withColumn("run_date", by_channel().cast("date"))
@@ -685,6 +703,14 @@ def dq_unique(spark, sf_dir):
     )
 
 
+@query
+def dq_violations(spark, sf_dir):
+    """On raw records: what breaks a rule, with some of its keys, all in one grouping."""
+    feed = records(spark, sf_dir, "transaction_id", "amount", "merchant_entity_id")
+    rules_of = {"transaction_id": [quality.NOT_NULL, quality.UNIQUE], "amount": [quality.NOT_NULL], "merchant_entity_id": [quality.NOT_NULL]}
+    return quality.suite({"raw": feed}, {"raw": rules_of}, samples=8)
+
+
 @query
 def dq_suite(spark, sf_dir):
     """On the models, where nothing may be wrong."""

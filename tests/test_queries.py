@@ -17,7 +17,7 @@ def twin(sf_dir):
 def test_every_query_has_a_twin():
     assert set(QUERIES) == set(ORACLE)
     assert set(QUERIES) <= set(entry.queries()) and set(ORACLE) <= set(entry.oracle_sql())
-    assert len(QUERIES) == 68
+    assert len(QUERIES) == 70
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
