@@ -77,12 +77,12 @@ def _resolved(text: str) -> str:
 _BLOCKS = "address|article|aside|blockquote|body|br|dd|div|dl|dt|footer|form|h[1-6]|head|header|hr|html|li|main|nav|ol|p|pre|section|table|td|th|title|tr|ul"
 _VISIBLE = (
     "regexp_replace(regexp_replace(regexp_replace(html, "
-    r"'(?is)<script[^>]*>.*?</script[^>]*>|<style[^>]*>.*?</style[^>]*>|<!--.*?-->', ' ', 'g'), "
-    rf"'(?i)</?(?:{_BLOCKS})(?:[ \t\r\n/][^>]*)?>', chr(10), 'g'), "
-    r"'</?[a-zA-Z!?][^>]*>', '', 'g')"
+    r"'(?is)<script[^<>]*>.*?(?:</script[^<>]*>|\z)|<style[^<>]*>.*?(?:</style[^<>]*>|\z)|<!--.*?(?:-->|\z)', ' ', 'g'), "
+    rf"'(?i)</?(?:{_BLOCKS})(?:[ \t\r\n/][^<>]*)?>', chr(10), 'g'), "
+    r"'</?[a-zA-Z!?][^<>]*>', '', 'g')"
 )
 _TEXT = rf"trim(regexp_replace(regexp_replace({_resolved(_VISIBLE)}, '[ \t\r\f]+', ' ', 'g'), ' ?\n[ \n]*', chr(10), 'g'), ' ' || chr(10))"
-_TITLE = _resolved(r"regexp_replace(regexp_extract(html, '(?is)<title[^>]*>(.*?)</title', 1), '</?[a-zA-Z!?][^>]*>', '', 'g')")
+_TITLE = _resolved(r"regexp_extract(html, '(?i)<title[^<>]*>([^<]*)', 1)")
 
 WARC_DERIVATIVES = rf"""
 WITH response AS (
@@ -97,11 +97,11 @@ WITH response AS (
   SELECT page_id, target_uri, source_digest, {_URN.format('h')} AS refers_to, 'metadata' AS warc_type,
          'application/warc-fields' AS content_type,
          'title: ' || trim(regexp_replace({_TITLE}, '[ \t\r\n\f]+', ' ', 'g')) || chr(13) || chr(10) ||
-         'links: ' || len(regexp_extract_all(html, '(?i)<a[ \t\r\n][^>]*href')) || chr(13) || chr(10) ||
-         'payload-digest: ' || source_digest || chr(13) || chr(10) || header AS block
+         'links: ' || len(regexp_extract_all(html, '(?i)<a[ \t\r\n][^<>]*href')) || chr(13) || chr(10) ||
+         'payload-digest: ' || source_digest || chr(13) || chr(10) || header AS block, header
   FROM source
   UNION ALL
-  SELECT page_id, target_uri, source_digest, {_URN.format('h')}, 'conversion', 'text/plain', {_TEXT} FROM source
+  SELECT page_id, target_uri, source_digest, {_URN.format('h')}, 'conversion', 'text/plain', {_TEXT}, header FROM source
 ), keyed AS (
   SELECT *, md5(warc_type || chr(10) || refers_to) AS k, 'sha256:' || sha256(block) AS block_digest FROM record
 ), named AS (SELECT *, {_URN.format('k')} AS record_id FROM keyed)
@@ -109,6 +109,8 @@ SELECT page_id, warc_type, record_id, refers_to, target_uri, content_type, CAST(
        source_digest, block_digest,
        sha256('WARC/1.1' || chr(13) || chr(10) || 'WARC-Type: ' || warc_type || chr(13) || chr(10) ||
          'WARC-Record-ID: <' || record_id || '>' || chr(13) || chr(10) || 'WARC-Refers-To: <' || refers_to || '>' || chr(13) || chr(10) ||
+         'WARC-Refers-To-Payload-Digest: ' || source_digest || chr(13) || chr(10) || 'WARC-Refers-To-HTTP-Header: ' ||
+         replace(rtrim(header, chr(13) || chr(10)), chr(13) || chr(10), chr(13) || chr(10) || ' ') || chr(13) || chr(10) ||
          'WARC-Target-URI: ' || target_uri || chr(13) || chr(10) || 'WARC-Date: 1970-01-01T00:00:00Z' || chr(13) || chr(10) ||
          'WARC-Block-Digest: ' || block_digest || chr(13) || chr(10) || 'Content-Type: ' || content_type || chr(13) || chr(10) ||
          'Content-Length: ' || strlen(block) || chr(13) || chr(10) || chr(13) || chr(10) || block ||

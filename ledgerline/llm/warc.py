@@ -15,13 +15,17 @@ CRLF = "\r\n"
 RESPONSE = ["record_id", "target_uri", "date", "http_header", "payload"]
 #: Content types of the two derived records.
 FIELDS, PLAIN = "application/warc-fields", "text/plain"
-# Patterns are plain enough to mean the same in Java and RE2.
-HIDDEN = "(?is)<script[^>]*>.*?</script[^>]*>|<style[^>]*>.*?</style[^>]*>|<!--.*?-->"
-BREAKS = "(?i)</?(?:address|article|aside|blockquote|body|br|dd|div|dl|dt|footer|form|h[1-6]|head|header|hr|html|li|main|nav|ol|p|pre|section|table|td|th|title|tr|ul)(?:[ \t\r\n/][^>]*)?>"
-TAG = "</?[a-zA-Z!?][^>]*>"
+# Patterns are plain enough to mean the same in Java and RE2, and take time in proportion to the
+# page however broken its markup is: a tag ends before the next one begins, and a script, style or
+# comment that is never closed hides the rest of the page.
+HIDDEN = (
+    r"(?is)<script[^<>]*>.*?(?:</script[^<>]*>|\z)|<style[^<>]*>.*?(?:</style[^<>]*>|\z)|<!--.*?(?:-->|\z)"
+)
+BREAKS = "(?i)</?(?:address|article|aside|blockquote|body|br|dd|div|dl|dt|footer|form|h[1-6]|head|header|hr|html|li|main|nav|ol|p|pre|section|table|td|th|title|tr|ul)(?:[ \t\r\n/][^<>]*)?>"
+TAG = "</?[a-zA-Z!?][^<>]*>"
 BLANKS, LINES = "[ \t\r\f]+", " ?\n[ \n]*"
-TITLE = "(?is)<title[^>]*>(.*?)</title"
-LINK = "(?i)<a[ \t\r\n][^>]*href"
+TITLE = "(?i)<title[^<>]*>([^<]*)"
+LINK = "(?i)<a[ \t\r\n][^<>]*href"
 #: Character references that are resolved; the ampersand comes last.
 ENTITIES = [("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&apos;", "'"), ("&amp;", "&")]
 
@@ -72,7 +76,8 @@ def derive(records: DataFrame) -> DataFrame:
     ``source_digest``, ``block``, ``content_length`` (bytes) and ``block_digest``.
 
     ``records`` has the columns RESPONSE; columns with the names of results are replaced.
-    A NULL payload is an empty one. Repeated rows give repeated records."""
+    A NULL payload is an empty one. Repeated rows give repeated records; an empty table gives
+    none. Payloads of any length are read whole, in time proportional to their length."""
     made = ["warc_type", "refers_to", "content_type", "source_header", "source_digest", "block", "content_length", "block_digest"]
     others = [c for c in records.columns if c not in RESPONSE + made]
     payload = F.coalesce("payload", F.lit(""))
@@ -81,7 +86,7 @@ def derive(records: DataFrame) -> DataFrame:
         F.col("http_header").alias("source_header"), payload.alias("payload"), digest(payload).alias("source_digest"),
         plain_text(payload).alias("_text"),
     )
-    title = F.trim(F.regexp_replace(_resolved(F.regexp_replace(F.regexp_extract("payload", TITLE, 1), TAG, "")), "[ \t\r\n\f]+", " "))
+    title = F.trim(F.regexp_replace(_resolved(F.regexp_extract("payload", TITLE, 1)), "[ \t\r\n\f]+", " "))
     fields = F.concat(
         F.lit("title: "), title, F.lit(f"{CRLF}links: "), F.regexp_count("payload", F.lit(LINK)).cast("string"),
         F.lit(f"{CRLF}payload-digest: "), F.col("source_digest"), F.lit(CRLF), F.col("source_header"),
@@ -99,16 +104,22 @@ def derive(records: DataFrame) -> DataFrame:
 
 
 def serialized(derived: DataFrame) -> DataFrame:
-    """``derived`` with ``record``: the complete WARC/1.1 record (header, block, end) as bytes."""
+    """``derived`` with ``record``: the complete WARC/1.1 record (header, block, end) as bytes.
+
+    Both kinds of records carry the digest and, in folded lines, the HTTP header of the
+    response that they refer to."""
     def line(name: str, value: Column) -> Column:
         return F.concat(F.lit(f"{name}: "), value, F.lit(CRLF))
 
     def uri(c: str) -> Column:
         return F.concat(F.lit("<"), F.col(c), F.lit(">"))
 
+    header = F.rtrim(F.coalesce("source_header", F.lit("")), F.lit(CRLF))
+    folded = F.replace(header, F.lit(CRLF), F.lit(f"{CRLF} "))
     head = F.concat(
         F.lit(f"WARC/1.1{CRLF}"), line("WARC-Type", F.col("warc_type")), line("WARC-Record-ID", uri("record_id")),
-        line("WARC-Refers-To", uri("refers_to")), line("WARC-Target-URI", F.col("target_uri")), line("WARC-Date", F.col("date")),
+        line("WARC-Refers-To", uri("refers_to")), line("WARC-Refers-To-Payload-Digest", F.col("source_digest")),
+        line("WARC-Refers-To-HTTP-Header", folded), line("WARC-Target-URI", F.col("target_uri")), line("WARC-Date", F.col("date")),
         line("WARC-Block-Digest", F.col("block_digest")), line("Content-Type", F.col("content_type")),
         line("Content-Length", F.col("content_length").cast("string")), F.lit(CRLF),
     )

@@ -1,6 +1,7 @@
 """Defined results for NULLs, empty and long texts, ties, repeats, empty tables and clashing names."""
 
 import hashlib
+import time
 
 import numpy as np
 import pytest
@@ -138,14 +139,30 @@ def test_warc(spark):
     assert len([r for r in got if r["page_id"] is None][1]["block"]) > 100_000
     for r in warc.serialized(derived).collect():
         head, _, rest = bytes(r["record"]).partition(b"\r\n\r\n")
-        fields = dict(x.split(": ", 1) for x in head.decode().split("\r\n")[1:])
+        fields = dict(x.split(": ", 1) for x in head.decode().replace("\r\n ", "\n").split("\r\n")[1:])
         block = rest[: int(fields["Content-Length"])]
         assert rest[len(block):] == b"\r\n\r\n" and block.decode() == r["block"]
         assert fields["WARC-Refers-To"] == f"<{r['refers_to']}>"
+        assert fields["WARC-Refers-To-Payload-Digest"] == r["source_digest"]
+        assert fields["WARC-Refers-To-HTTP-Header"].replace("\n", "\r\n") + "\r\n" == r["source_header"]
         assert fields["WARC-Block-Digest"] == "sha256:" + hashlib.sha256(block).hexdigest()
     assert warc.derive(warc.responses(frame.where("false"))).count() == 0
 
 
+def test_warc_of_broken_markup(spark):
+    """Whatever is never closed takes time in proportion to its length."""
+    size = 3_000_000
+    starts = ["<a", "<script", "<script>", "<!--", "<title>", "<style x", "</script", "<p ", "<script>x</script ", "<!- ", "<a href"]
+    pages = [(i, "u", s * (size // len(s))) for i, s in enumerate(starts)]
+    pages += [(98, "u", "<a " + "x" * size), (99, "u", "seen<script>a<b<!-- x --></scripty>hidden")]
+    frame = spark.createDataFrame(pages, "page_id bigint, url string, html string").repartition(4)
+    begun = time.time()
+    got = {(r.page_id, r.warc_type): r.block for r in warc.derive(warc.responses(frame)).collect()}
+    assert time.time() - begun < 60
+    assert got[99, "conversion"] == "seen hidden" and got[3, "conversion"] == got[2, "conversion"] == ""
+    assert got[0, "conversion"] == "<a" * (size // 2) and "links: 0" in got[0, "metadata"]
+
+
 def test_bpe(docs, empty):
     coded = bpe.encode(docs, BPE_RANKS, public_tokenizers.PATTERN)
     assert coded.columns == docs.columns
