@@ -1,6 +1,7 @@
 """Each operator against a plain version of what it computes, on whole small tables."""
 
 import hashlib
+import re
 import zlib
 
 import numpy as np
@@ -295,27 +296,60 @@ def test_languages_are_told_apart(spark, sf_dir):
     assert (got[got.held_out].lang_pred == got[got.held_out].lang).mean() > 0.97
 
 
-def test_phrases_are_longest_matches():
-    model = language.Model({"a": "der die das und nicht", "b": "the and of that"})
-    for text in ["das und der", "that is nicht", "and the die of", "thedasund"]:
-        numbers = model.numbered(language.normalized(text))
-        got = model.phrases([numbers])[0]
-        for j, (name, sample) in enumerate((("a", " der die das und nicht "), ("b", " the and of that "))):
-            rest, want = language.normalized(text), 0
-            while rest:
-                n = max((k for k in range(len(rest) + 1) if rest[:k] in sample), default=0)
-                want += 1
-                rest = rest[max(n, 1):]
-            # A character that no sample has joins the phrase that follows it.
-            assert abs(got[j] - want) <= sum(c not in sample for c in language.normalized(text))
-
-
-def test_segments_parse_the_whole_text(monkeypatch):
-    model = language.Model({"a": "abcabcabd", "b": "xyzxyz"})
-    numbers = model.numbered(language.normalized("abcabd" * 50))
-    monkeypatch.setattr(language, "SEGMENT", 7)
-    cut = model.phrases([numbers])[0]
-    assert cut[0] >= len(numbers) // 7 and cut[1] >= len(numbers) - 10
+def plain_phrases(text, sample):
+    """Longest match by longest match; a letter without a match is a phrase."""
+    n = at = 0
+    while at < len(text):
+        size = 1
+        while at + size <= len(text) and text[at : at + size] in sample:
+            size += 1
+        at += max(1, size - 1)
+        n += 1
+    return n
+
+
+@pytest.mark.parametrize("segment", [1, 3, 7, 64, 1024])
+@pytest.mark.parametrize("dense", [64 << 20, 0])
+def test_phrases_are_longest_matches(monkeypatch, texts, segment, dense):
+    monkeypatch.setattr(language, "DENSE_BYTES", dense)
+    samples = {"a": "der die das und nicht " * 3, "b": "the and of that", "c": " ".join(texts.tolist()[:2])[:3000], "d": "漢字仮名交じり文"}
+    model = language.Model(samples)
+    assert all((a.table is None) == (dense == 0) for a in model.automata)
+    some = ["das und der", "that is nicht", "thedasund", "漢字と仮名 the ΩΩ", "", "x" * 50, *[t[:700] for t in texts.tolist()[2:10]]]
+    cut = [language.normalized(t) for t in some]
+    got = model.phrases([model.numbered(t) for t in cut], segment=segment)
+    assert got.tolist() == [[plain_phrases(t, language.normalized(samples[k])) for k in model.languages] for t in cut]
+    # Predictions follow from these counts.
+    lacking = [[sum(c not in language.normalized(samples[k]) for c in t) for k in model.languages] for t in cut]
+    bits = got * model.phrase_bits + np.array(lacking) * model.letter_bits
+    for text, name, own in zip(some, model.predict(some)[0], bits):
+        assert name == (model.languages[int(own.argmin())] if regex.search(r"\p{L}", text) else "und")
+
+
+def test_alphabet_of_thousands_of_letters_stays_small():
+    letters = [chr(0x4E00 + i) for i in range(4000)]
+    chance = np.random.default_rng(4)
+    model = language.Model({"zh": "".join(chance.choice(letters, 20_000)), "en": "the quick brown fox " * 1000})
+    size = sum(x.nbytes for a in model.automata for x in (a.own, a.table, a.keys, a.targets) if x is not None)
+    assert size < 20_000_000
+    assert model.predict(["".join(letters[:30]), "the brown fox"])[0] == ["zh", "en"]
+
+
+def test_sample_takes_different_texts_whole(spark, monkeypatch):
+    monkeypatch.setattr(language, "SAMPLE_TEXTS", 3)
+    monkeypatch.setattr(language, "SAMPLE_CHARS", 100)
+    monkeypatch.setattr(language, "LONG_CHARS", 60)
+    seen = {}
+    monkeypatch.setattr(language, "Model", lambda samples: seen.update(samples))
+    able = [i for i in range(1000) if zlib.crc32(str(i).encode()) % 5]
+    data = [(able[i], "copied", "xx") for i in range(50)] + [(able[50 + i], f"text number {i} of xx", "xx") for i in range(9)]
+    data += [(able[70], "one long text only " * 30, "long"), (able[71], "short one", "mixed"), (able[72], "long " * 20, "mixed"), (able[73], "1 2", "digits")]
+    data += [(able[74], None, "none"), (None, "no id", "xx"), (able[75], "no label", None)]
+    language.train(spark.createDataFrame(data, "doc_id bigint, text string, lang string").repartition(4))
+    assert set(seen) == {"xx", "long", "mixed"} and seen["long"] == "one long text only " * 30
+    assert seen["mixed"] == "short one"  # both do not fit
+    drawn = re.findall(r"copied|text number \d of xx", seen["xx"])
+    assert len(drawn) == len(set(drawn)) == 3 and " ".join(drawn) == seen["xx"]
 
 
 def test_quality_on_held_out_labels(spark, sf_dir):
