@@ -56,7 +56,8 @@ def normalized(text: str) -> str:
 
 @dataclass(frozen=True)
 class Automaton:
-    """Suffix automaton: next state by state and letter (0: none).
+    """Suffix automaton: next state by state and letter. State 0 is no match, and no letter
+    leads on from it.
 
     ``own`` numbers the letters that the sample has by those of all samples, from 1 (0: none).
     The steps lie in a flat table, or as sorted keys if that would be too large: an alphabet
@@ -71,9 +72,9 @@ class Automaton:
 
     def step(self, state: np.ndarray, letter: np.ndarray) -> np.ndarray:
         """Next states; ``letter`` in own numbers."""
-        key = state.astype(np.int64) * self.n_letters + letter
         if self.table is not None:
-            return self.table[key]
+            return self.table.take(state * np.int32(self.n_letters) + letter, mode="clip")
+        key = state.astype(np.int64) * self.n_letters + letter
         at = np.searchsorted(self.keys, key).clip(max=len(self.keys) - 1)
         return np.where(self.keys[at] == key, self.targets[at], 0)
 
@@ -129,22 +130,22 @@ def _walk(
 
     ``begun`` gets a mark where a phrase begins. With ``met`` (which columns go no further) a
     column stops where a phrase begins that ``begun`` has already: the rest is as marked."""
-    start = automaton.step(np.ones(automaton.n_letters, np.int32), np.arange(automaton.n_letters))
+    start = automaton.step(np.ones(automaton.n_letters, np.int32), np.arange(automaton.n_letters, dtype=np.int32))
     # Columns that still run at step k are the first live[k].
     live = np.searchsorted(-lengths, -np.arange(len(letters)), side="left")
     for k in range(len(letters)):
         at = slice(0, live[k]) if met is None else np.flatnonzero(~met[: live[k]])
         if met is not None and not len(at):
             break
-        letter, was = letters[k, at], state[at]
-        new = automaton.step(was, letter)
-        stuck = new == 0
-        begins = stuck | (was == 1)
+        letter = letters[k, at]
+        new = automaton.step(state[at], letter)
+        begins = new == 0
         if met is not None:
             met[at] = begins & begun[k, at]
         begun[k, at] = begins
         # A letter that the sample lacks is a phrase of its own: after it nothing is open.
-        new[stuck] = np.maximum(start[letter[stuck]], 1)
+        stuck = np.flatnonzero(begins)
+        new[stuck] = start[letter[stuck]]
         state[at] = new
     return state
 
@@ -156,7 +157,7 @@ def _parse(automaton: Automaton, letters: np.ndarray, lengths: np.ndarray, befor
     in which the one before it ended; if the walks have not met at its end, the column
     after it is walked once more."""
     begun = np.zeros(letters.shape, bool)
-    end = _walk(automaton, letters, lengths, np.ones(len(lengths), np.int32), begun)
+    end = _walk(automaton, letters, lengths, np.zeros(len(lengths), np.int32), begun)
     after = np.full(len(lengths), -1)
     after[before[before >= 0]] = np.flatnonzero(before >= 0)
     again = np.flatnonzero(before >= 0)
@@ -302,7 +303,8 @@ def train(docs: DataFrame, label: str = "lang") -> Model:
     drawn = able.select("lang", "key").distinct().withColumn("n", F.row_number().over(first)).where(F.col("n") <= SAMPLE_TEXTS)
     so_far = F.sum("key.n_chars").over(first.rowsBetween(Window.unboundedPreceding, Window.currentRow))
     drawn = drawn.withColumn("chars", so_far).where((F.col("chars") <= SAMPLE_CHARS) | (F.col("n") == 1))
-    rows = able.join(drawn, ["lang", "key"]).groupBy("lang", "n").agg(F.min("text").alias("text")).collect()
+    # At most SAMPLE_TEXTS hashes of a language, whose texts come to the driver anyway.
+    rows = able.join(F.broadcast(drawn), ["lang", "key"]).groupBy("lang", "n").agg(F.min("text").alias("text")).collect()
     samples: dict[str, list[str]] = {}
     for r in sorted(rows, key=lambda r: (r["lang"], r["n"])):
         samples.setdefault(r["lang"], []).append(r["text"])
