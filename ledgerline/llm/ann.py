@@ -1,13 +1,18 @@
 """Approximate nearest neighbours: one navigable small-world graph per shard.
 
 Vectors are made distinct first (copies have equal scores, and would link only to each
-other), dealt into shards of bounded size by a hash, and each shard's graph is built by one
-task: every vector is on level 0, one in ``LINKS`` of a level is on the next. Nodes enter
-in batches: a batch descends from the top, searches each of its levels with a beam, and
-links to diverse near nodes, both ways. The index is a table with one row per shard, whose
-neighbours lie in flat arrays. Queries go to every shard in blocks of bounded size; each
-pair of shard and block is one task, and shard results are merged with a rank limit that
-applies before the shuffle. Scores are computed anew in double precision.
+other), dealt into shards by a hash, and each shard's graph is built by one task: every
+vector is on level 0, one in ``LINKS`` of a level is on the next. Nodes enter in batches: a
+batch descends from the top, searches each of its levels with a beam, and links to diverse
+near nodes, both ways. The index is a table with one row per shard, whose neighbours lie in
+flat arrays. Queries go to every shard in blocks; each pair of shard and block is one task,
+and shard results are merged with a rank limit that applies before the shuffle. Scores are
+computed anew in double precision.
+
+A query costs one descent per shard, so shards are as large as a task may hold
+(``SHARD_BYTES`` of vectors and links; 80,000 vectors of 64 components). Small tables get
+smaller shards, down to ``LEAST_ROWS``, while cores of the cluster would be idle. A shard is
+read once per ``QUERY_BYTES`` of queries, in which time it answers tens of thousands.
 """
 
 from __future__ import annotations
@@ -22,7 +27,10 @@ from pyspark.sql import functions as F
 from ledgerline.llm.shipping import ship_package
 from ledgerline.sinks.files import Stage
 
-SHARD_ROWS, QUERY_ROWS = 4096, 4096
+#: Bytes of vectors and links in a shard, and of query vectors that meet a shard in one task.
+SHARD_BYTES, QUERY_BYTES = 32 << 20, 16 << 20
+#: Vectors below which a shard is not cut further to employ more cores.
+LEAST_ROWS = 4096
 LINKS, GROUND_LINKS, BUILD_BEAM, SEARCH_BEAM = 16, 32, 96, 128
 #: Nodes that enter together, queries that descend together, nodes expanded per step.
 BATCH, EXPAND = 256, 4
@@ -197,10 +205,14 @@ def distinct_vectors(rows: DataFrame, k: int, stage: Stage) -> DataFrame:
     return stage.save(ranked.withColumn("rep", F.first("id").over(first)).select("rep", "id", "vector"), "vectors")
 
 
-def build_index(known: DataFrame, stage: Stage, shard_rows: int = SHARD_ROWS) -> DataFrame:
-    """The index table of distinct vectors (``rep``, ``vector``): one row per shard."""
-    ship_package(known.sparkSession)
-    n_shards = max(1, -(-known.count() // shard_rows))
+def build_index(known: DataFrame, stage: Stage, shard_bytes: int = SHARD_BYTES) -> DataFrame:
+    """The index table of distinct vectors (``rep``, ``vector``): one row per shard and length
+    of vectors, each of about ``shard_bytes`` or less."""
+    spark = known.sparkSession
+    ship_package(spark)
+    rows, size = known.agg(F.count("*"), F.sum(4 * (F.size("vector") + GROUND_LINKS + 3))).first()
+    wanted = min(spark.sparkContext.defaultParallelism, -(-rows // LEAST_ROWS))
+    n_shards = max(1, wanted, -(-(size or 0) // shard_bytes))
     keyed = known.select("rep", "vector", F.size("vector").alias("dim"), F.pmod(F.xxhash64("rep"), F.lit(n_shards)).cast("int").alias("shard"))
 
     def built(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
@@ -212,11 +224,12 @@ def build_index(known: DataFrame, stage: Stage, shard_rows: int = SHARD_ROWS) ->
     return stage.save(spread.groupBy("dim", "shard").applyInPandas(built, INDEX), "index")
 
 
-def search(index: DataFrame, queries: DataFrame, k: int, query_rows: int = QUERY_ROWS) -> DataFrame:
+def search(index: DataFrame, queries: DataFrame, k: int, query_bytes: int = QUERY_BYTES) -> DataFrame:
     """The ``k`` best found in each shard for each query (``query_id``, ``vector``)."""
     ship_package(index.sparkSession)
     n_shards = index.agg(F.max("shard") + 1).first()[0] or 0
-    n_blocks = max(1, -(-queries.count() // query_rows))
+    size = queries.agg(F.sum(4 * F.size("vector") + 8)).first()[0] or 0
+    n_blocks = max(1, -(-size // query_bytes))
     asked = queries.select(
         "query_id", "vector", F.size("vector").alias("dim"), F.pmod(F.xxhash64("query_id"), F.lit(n_blocks)).cast("int").alias("block"),
         F.explode(F.sequence(F.lit(0), F.lit(max(0, n_shards - 1)))).alias("shard"),
@@ -227,12 +240,11 @@ def search(index: DataFrame, queries: DataFrame, k: int, query_rows: int = QUERY
         out = []
         if len(shard) and len(asked):
             graph, reps = _restored(shard.iloc[0])
-            exact = graph.vectors.astype(np.float64)
             for at in range(0, len(asked), BATCH):
                 part = asked.iloc[at : at + BATCH]
                 vectors = np.stack(part["vector"].to_numpy())
                 ids, _ = graph.search(vectors.astype(np.float32), min(k, len(reps)))
-                scores = np.einsum("ijk,ik->ij", exact[ids], vectors.astype(np.float64))
+                scores = np.einsum("ijk,ik->ij", graph.vectors[ids].astype(np.float64), vectors.astype(np.float64))
                 kept = ids >= 0
                 query = np.broadcast_to(part["query_id"].to_numpy()[:, None], ids.shape)
                 out.append(pd.DataFrame({"query_id": query[kept], "rep": reps[ids[kept]], "score": scores[kept]}))
@@ -242,7 +254,7 @@ def search(index: DataFrame, queries: DataFrame, k: int, query_rows: int = QUERY
     return shards.groupBy(*keys).cogroup(asked.groupBy(*keys)).applyInPandas(found, FOUND)
 
 
-def nearest(vectors: DataFrame, is_query, stage: Stage, k: int = TOP, shard_rows: int = SHARD_ROWS) -> DataFrame:
+def nearest(vectors: DataFrame, is_query, stage: Stage, k: int = TOP, shard_bytes: int = SHARD_BYTES, query_bytes: int = QUERY_BYTES) -> DataFrame:
     """For each query row of ``vectors`` (``id`` long, ``vector`` array<float>) the ``k``
     nearest other ids: ``query_id``, ``rank`` (from 1), ``id``, ``score`` (inner product in
     double precision). Ties go to the smaller id; fewer candidates give fewer rows.
@@ -252,10 +264,10 @@ def nearest(vectors: DataFrame, is_query, stage: Stage, k: int = TOP, shard_rows
     score. An empty table gives no rows."""
     rows = usable(vectors)
     known = distinct_vectors(rows.select("id", "vector"), k, stage)
-    index = build_index(known.where("id = rep"), stage, shard_rows)
+    index = build_index(known.where("id = rep"), stage, shard_bytes)
     queries = stage.save(rows.where(is_query).select(F.col("id").alias("query_id"), "vector").distinct(), "queries")
     # The query's own vector may be the best: one more distinct vector, and copies of each.
-    hits = stage.save(search(index, queries, k + 1), "hits")
+    hits = stage.save(search(index, queries, k + 1, query_bytes), "hits")
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "rep")
     best = hits.withColumn("n", F.row_number().over(order)).where(f"n <= {k + 1}")
     wide = best.join(known.select("rep", "id"), "rep").where("id <> query_id")

@@ -7,9 +7,10 @@ for words that no item has), each run of window length becomes a rolling hash, a
 whose hash is known are compared word by word. So each hit is verified, and whole documents
 pass once, without a shuffle.
 
-The set is broadcast only as far as its size is bounded: items are taken in blocks of at
-most ``BLOCK_BYTES`` of text, and documents are scanned once per block. Spans of several
-blocks are merged for each row.
+The set is broadcast only as far as its size is bounded: distinct items are taken in blocks
+of about ``BLOCK_BYTES`` of text, and documents are scanned once per block, each in a job of
+its own whose hits are staged; so a task holds one block, however many there are. Hits of a
+text (by a 128-bit hash of it) in several blocks are merged and joined to its rows.
 """
 
 from __future__ import annotations
@@ -26,6 +27,7 @@ from pyspark.sql import types as T
 
 from ledgerline.llm.batches import lists, raw, text_slices
 from ledgerline.llm.shipping import ship_package
+from ledgerline.sinks.files import Stage
 
 WINDOW = 10
 #: Bytes of item text in one broadcast block (its hash set takes some 30 times as much).
@@ -110,10 +112,9 @@ class Windows:
 
 
 def item_blocks(items: DataFrame, block_bytes: int) -> Iterator[list[tuple[str | None, bytes]]]:
-    """Items (item_id, text) in blocks of bounded text, one block on the driver at a time.
-
-    Items are dealt by a hash into as many blocks as their total size asks for."""
-    rows = items.where("text IS NOT NULL").select(F.col("item_id").cast("string").alias("id"), "text")
+    """Distinct items (item_id, text) in blocks of about ``block_bytes`` of text, one block on the
+    driver at a time. Items are dealt by a hash into as many blocks as their size asks for."""
+    rows = items.where("text IS NOT NULL").select(F.col("item_id").cast("string").alias("id"), "text").distinct()
     total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n_blocks = -(-2 * total // block_bytes) if total > block_bytes else 1
     for block in range(n_blocks):
@@ -138,41 +139,76 @@ def _scanner(windows) -> Column:
     return scanned
 
 
-def scan(docs: DataFrame, items: DataFrame, text: str = "text", window: int = WINDOW, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+def _merged(spans: Column) -> Column:
+    """Sorted spans with those that touch or overlap made one."""
+    return F.aggregate(
+        spans, F.array().cast("array<struct<start:bigint,stop:bigint>>"),
+        lambda done, s: F.when(
+            (F.size(done) > 0) & (s["start"] <= F.element_at(done, -1)["stop"]),
+            F.concat(
+                F.slice(done, 1, F.size(done) - 1),
+                F.array(F.struct(F.element_at(done, -1)["start"].alias("start"), F.greatest(F.element_at(done, -1)["stop"], s["stop"]).alias("stop"))),
+            ),
+        ).otherwise(F.concat(done, F.array(s))),
+    )
+
+
+def _free(df: DataFrame, *names: str) -> list[str]:
+    """``names``, made longer where ``df`` has a column of that name (in any case)."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        out.append(name)
+    return out
+
+
+def scan(
+    docs: DataFrame, items: DataFrame, text: str = "text", window: int = WINDOW, block_bytes: int = BLOCK_BYTES, stage: Stage | None = None,
+) -> DataFrame:
     """``docs`` with ``n_words``, ``spans`` (merged word positions that windows cover),
     ``n_hit`` and ``items`` (ids of items with a window in the text, sorted as strings).
 
     NULL texts have no words; texts of any length are scanned whole. Items that are NULL or
     have no words have no windows; an item without id marks words, but is not named. Repeated
-    items count once. Without documents or items nothing is hit. Columns of ``docs`` that
-    have the names of results are replaced."""
+    items count once; repeated rows of ``docs`` all stay. Without documents or items nothing
+    is hit. Columns of ``docs`` that have the names of results are replaced, all others stay.
+    Items beyond ``block_bytes`` need a stage (one of its own if none is given)."""
     spark = docs.sparkSession
     ship_package(spark)
-    scans = []
-    for i, block in enumerate(item_blocks(items, block_bytes)):
+    own, k1, k2, earlier = _free(docs, "_scan", "_k1", "_k2", "_earlier")
+    text_key = [F.xxhash64(F.col(text)).alias(k1), F.xxhash64(F.lit(1), F.col(text)).alias(k2)]
+    blocks = item_blocks(items, block_bytes)
+    scanner, staged = None, []
+    for i, block in enumerate(blocks):
+        if scanner is not None:  # of all blocks but the last, only hits are kept, one row a text
+            stage = stage or Stage(spark)
+            hits = docs.select(*text_key, scanner(F.col(text)).alias(own)).where(F.size(f"{own}.spans") > 0)
+            staged.append(stage.save(hits.groupBy(k1, k2).agg(F.first(own).alias(own)), f"hits-{i}"))
+            shared.destroy()
         shared = spark.sparkContext.broadcast(Windows(block, window))
-        docs = docs.withColumn(f"_scan{i}", _scanner(shared)(F.col(text)))
-        scans.append(F.col(f"_scan{i}"))
-    spans = F.array_sort(F.flatten(F.array(*[s["spans"] for s in scans])))
-    found = F.array_sort(F.array_distinct(F.flatten(F.array(*[s["items"] for s in scans]))))
-    if len(scans) > 1:
-        spans = F.aggregate(
-            spans, F.array().cast("array<struct<start:bigint,stop:bigint>>"),
-            lambda done, s: F.when(
-                (F.size(done) > 0) & (s["start"] <= F.element_at(done, -1)["stop"]),
-                F.concat(
-                    F.slice(done, 1, F.size(done) - 1),
-                    F.array(F.struct(F.element_at(done, -1)["start"].alias("start"), F.greatest(F.element_at(done, -1)["stop"], s["stop"]).alias("stop"))),
-                ),
-            ).otherwise(F.concat(done, F.array(s))),
-        )
-    docs = docs.withColumns({"n_words": scans[0]["n_words"], "spans": spans, "items": found})
+        scanner = _scanner(shared)
+    docs = docs.withColumn(own, scanner(F.col(text)))
+    spans, found = F.col(f"{own}.spans"), F.col(f"{own}.items")
+    if staged:
+        hits = staged[0]
+        for more in staged[1:]:
+            hits = hits.unionAll(more)
+        hits = hits.groupBy(k1, k2).agg(F.collect_list(own).alias(earlier))
+        docs = docs.withColumns({k1: text_key[0], k2: text_key[1]}).join(hits, [k1, k2], "left")
+        before = F.coalesce(earlier, F.array().cast(f"array<{SCAN}>"))
+        spans = _merged(F.array_sort(F.concat(F.flatten(F.transform(before, lambda h: h["spans"])), spans)))
+        found = F.array_sort(F.array_distinct(F.concat(F.flatten(F.transform(before, lambda h: h["items"])), found)))
+    docs = docs.withColumns({"n_words": F.col(f"{own}.n_words"), "spans": spans, "items": found})
     n_hit = F.aggregate("spans", F.lit(0).cast("bigint"), lambda n, s: n + s["stop"] - s["start"])
-    return docs.withColumn("n_hit", n_hit).drop(*[f"_scan{i}" for i in range(len(scans))])
+    return docs.withColumn("n_hit", n_hit).drop(own, k1, k2, earlier)
 
 
 def without_contaminated(docs: DataFrame, items: DataFrame, **options) -> DataFrame:
-    """The rows of ``docs`` in which nothing is hit, with their own columns."""
+    """The rows of ``docs`` in which nothing is hit, with their own columns.
+
+    Rows with a NULL or empty text, and repeated rows, stay; no documents give none."""
     scanned = scan(docs.select(F.struct("*").alias("_row"), F.col("text")), items, **options)
     return scanned.where("n_hit = 0").select("_row.*")
 
@@ -195,7 +231,9 @@ def _cut_out(texts: pa.Array, spans: pa.Array) -> pa.Array:
 
 
 def without_spans(docs: DataFrame, items: DataFrame, **options) -> DataFrame:
-    """All rows of ``docs``; the words that windows cover are cut out of ``text``."""
+    """All rows of ``docs``; the words that windows cover are cut out of ``text``.
+
+    NULL and empty texts stay as they are, repeated rows all stay, long texts are cut whole."""
     scanned = scan(docs.select(F.struct("*").alias("_row"), F.col("text")), items, **options)
     cleaned = scanned.withColumn("text", _cut_out("text", "spans"))
     return cleaned.select(*[F.col("text") if c == "text" else F.col(f"_row.`{c}`") for c in docs.columns])

@@ -45,6 +45,8 @@ FIXED = 20
 FRONTIER, CELLS = 1 << 18, 1 << 21
 #: Fingerprints of a bucket, and of each part of a larger one.
 BUCKET_ROWS = 1 << 15
+#: Rows of whole buckets that descend together.
+TOGETHER = 1 << 18
 #: Node pairs of at most so many fingerprint pairs are compared in full at once.
 LEAF_CELLS = 16
 ALL = np.uint64(2**64 - 1)
@@ -218,12 +220,39 @@ def links_in(values: np.ndarray, pairs: np.ndarray, parts: np.ndarray, budget: i
 
 
 def _joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Fingerprints of some buckets (``fp``, ``pair``, ``part``), in any order, to links ``a``, ``b``."""
-    held = [[batch.column(c).to_numpy() for c in ("fp", "pair", "part")] for batch in batches]
-    if held:
-        values, pairs, parts = (np.concatenate(c) for c in zip(*held))
-        a, b = links_in(values.view(np.uint64), pairs, parts)
-        yield pa.RecordBatch.from_arrays([pa.array(a.view(np.int64)), pa.array(b.view(np.int64))], ["a", "b"])
+    """Fingerprints (``fp``, ``pair``, ``key``, ``part``), bucket after bucket, to links ``a``, ``b``.
+
+    Whole buckets descend together once ``TOGETHER`` rows are held, so a task holds those rows
+    and one bucket, however many buckets its partition has."""
+    held = np.zeros((4, 0), np.int64)
+
+    def linked(rows: np.ndarray) -> pa.RecordBatch:
+        a, b = links_in(rows[0].view(np.uint64), rows[1], rows[3])
+        return pa.RecordBatch.from_arrays([pa.array(a.view(np.int64)), pa.array(b.view(np.int64))], ["a", "b"])
+
+    for piece in _pieces(batches):
+        held = np.concatenate([held, piece], axis=1)
+        if held.shape[1] > TOGETHER:
+            changes = np.flatnonzero((held[1:, 1:] != held[1:, :-1]).any(axis=0))
+            if len(changes):
+                end = int(changes[-1]) + 1
+                yield linked(np.ascontiguousarray(held[:, :end]))
+                held = held[:, end:].copy()
+    if held.shape[1]:
+        yield linked(held)
+
+
+def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
+    """The columns of about ``TOGETHER`` rows at a time."""
+    some, n = [], 0
+    for batch in batches:
+        some.append(np.stack([batch.column(c).to_numpy().astype(np.int64) for c in ("fp", "pair", "key", "part")]))
+        n += batch.num_rows
+        if n >= TOGETHER:
+            yield np.concatenate(some, axis=1)
+            some, n = [], 0
+    if some:
+        yield np.concatenate(some, axis=1)
 
 
 def fingerprint_links(fingerprints: DataFrame, stage: Stage, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
@@ -243,8 +272,8 @@ def fingerprint_links(fingerprints: DataFrame, stage: Stage, bucket_rows: int =
     )
     parts = F.when(F.col("n_parts").isNull(), F.array(F.lit(-1).cast("long"))).otherwise(meetings)
     dealt = buckets.join(large, ["pair", "key"], "left").select("fp", "pair", "key", F.explode(parts).alias("part"))
-    dealt = dealt.repartition("pair", "key", "part").select("fp", "pair", "part")
-    return dealt.mapInArrow(_joined, "a bigint, b bigint")
+    dealt = dealt.repartition("pair", "key", "part").sortWithinPartitions("pair", "key", "part")
+    return dealt.select("fp", "pair", "key", "part").mapInArrow(_joined, "a bigint, b bigint")
 
 
 def near_duplicates(docs: DataFrame, stage: Stage, text: str = "text") -> DataFrame:
@@ -284,5 +313,6 @@ def without_near_duplicates(docs: DataFrame, stage: Stage) -> DataFrame:
     distinct = stage.save(prints.groupBy("fp").agg(F.min(order).alias("first")), "distinct")
     firsts = with_roots(distinct, stage).groupBy("root").agg(F.min("first").alias("first"))
     kept = firsts.select("first._k1", "first._k2")
-    rows = docs.select(F.struct("*").alias("_row"), *row_key).join(kept, ["_k1", "_k2"], "left_semi")
-    return rows.dropDuplicates(["_k1", "_k2"]).select("_row.*")
+    # Exact repeats of a row fold in the map tasks, so that no one task gets all of them.
+    rows = docs.select(F.struct("*").alias("_row"), *row_key).dropDuplicates(["_k1", "_k2"])
+    return rows.join(kept, ["_k1", "_k2"], "left_semi").select("_row.*")

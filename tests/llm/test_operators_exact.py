@@ -276,7 +276,7 @@ def test_recall_over_several_shards(spark):
     centres = rng.normal(size=(12, 24))
     vectors = (centres[rng.integers(0, 12, 1500)] + 0.5 * rng.normal(size=(1500, 24))).astype(np.float32)
     rows = spark.createDataFrame(list(enumerate(vectors.tolist())), "id bigint, vector array<float>")
-    found = ann.nearest(rows, F.col("id") % 20 == 0, Stage(spark), k=10, shard_rows=400).toPandas()
+    found = ann.nearest(rows, F.col("id") % 20 == 0, Stage(spark), k=10, shard_bytes=100_000, query_bytes=3000).toPandas()
     hits = 0
     for q in range(0, 1500, 20):
         scores = vectors.astype(float) @ vectors[q].astype(float)
@@ -398,6 +398,37 @@ def test_blocks_of_items_give_the_same_spans(spark, sf_dir):
     assert [[tuple(x) for x in s] for s in one.spans] == [[tuple(x) for x in s] for s in many.spans]
 
 
+def test_blocks_are_bounded_and_repeated_items_count_once(spark):
+    items = spark.createDataFrame([(i % 3, f"one two three four five six seven eight nine ten w{i % 3}") for i in range(3000)], "item_id int, text string")
+    assert [len(b) for b in decontamination.item_blocks(items, 10_000)] == [3]
+    assert sum(len(b) for b in decontamination.item_blocks(items, 60)) == 3
+    docs = spark.createDataFrame([(1, "x One two three four five six seven eight nine ten w1 w2", "a")] * 2 + [(2, None, "b"), (3, "", "c")], "doc_id int, text string, _scan string")
+    found = decontamination.scan(docs.withColumns({"_k1": F.lit(1), "_K2": F.lit(2)}), items, block_bytes=60)
+    assert found.columns == ["doc_id", "text", "_scan", "_k1", "_K2", "n_words", "spans", "items", "n_hit"]
+    got = sorted((r["doc_id"], r["_scan"], r["n_words"], r["n_hit"], tuple(r["items"])) for r in found.collect())
+    assert got == [(1, "a", 13, 11, ("0", "1", "2"))] * 2 + [(2, "b", 0, 0, ()), (3, "c", 0, 0, ())]
+
+
+def test_buckets_join_alike_however_few_are_held(spark, monkeypatch):
+    rng = np.random.default_rng(4)
+    values = np.unique(rng.integers(0, 2**63, 30)[rng.integers(0, 30, 3000)] ^ (1 << rng.integers(0, 64, 3000).astype(np.uint64)).astype(np.int64))
+    keys = rng.integers(0, 4, len(values))
+    order = np.argsort(keys, kind="stable")
+    batches = [
+        pa.RecordBatch.from_arrays([pa.array(values[o]), pa.array(np.full(len(o), 1)), pa.array(keys[o]), pa.array(np.full(len(o), -1))], ["fp", "pair", "key", "part"])
+        for o in np.array_split(order, 9)
+    ]
+    one = pa.Table.from_batches(simhash._joined(iter(batches))).to_pandas()
+    monkeypatch.setattr(simhash, "TOGETHER", 16)
+    few = pa.Table.from_batches(simhash._joined(iter(batches))).to_pandas()
+    by_key = {}
+    for key in range(4):
+        a, b = simhash.links_in(values[keys == key].view(np.uint64), np.full((keys == key).sum(), 1), np.full((keys == key).sum(), -1))
+        by_key[key] = {frozenset((int(x), int(y))) for x, y in zip(a.view(np.int64), b.view(np.int64))}
+    assert len(one) and len(few)
+    assert {frozenset((int(x), int(y))) for x, y in few.values} == set().union(*by_key.values())
+
+
 def test_slices_cover_the_column():
     from ledgerline.llm.batches import slices
 
