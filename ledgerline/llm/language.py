@@ -34,6 +34,8 @@ from ledgerline.llm.shipping import ship_package
 #: Bounds of the training sample of a language: texts, and characters of all of them. Texts are
 #: taken whole or not at all; the first one always is.
 SAMPLE_TEXTS, SAMPLE_CHARS = 200, 60_000
+#: Ranges of hashes that are counted first (a power of two), so that only the lowest are ranked.
+HASH_RANGES = 256
 #: Longer texts are drawn only where a language has no others.
 LONG_CHARS = 10_000
 SEGMENT = 1024
@@ -287,26 +289,40 @@ def fold(doc_id: Column) -> Column:
     return F.crc32(doc_id.cast("string").cast("binary")) % 5
 
 
-def train(docs: DataFrame, label: str = "lang") -> Model:
-    """Learn from rows with a label whose id is not held out (NULL ids are not used).
+def drawn_texts(docs: DataFrame, label: str = "lang") -> DataFrame:
+    """The sample as ``lang``, ``n`` (from 1) and ``text``, from rows with a label whose id is not
+    held out (NULL ids are not used).
 
-    The sample is bounded: per language the SAMPLE_TEXTS different texts whose hash is least,
+    It is bounded: per language the SAMPLE_TEXTS different texts whose hash is least,
     those over LONG_CHARS characters last, as far as they fit in SAMPLE_CHARS whole. Copies of
-    a text count once. Only hashes are ranked, folded before their shuffle, so neither a language
-    nor a text with most of the rows is a burden, and only the sample reaches the driver. An
-    empty table, or one without labels, teaches nothing."""
+    a text count once. Only hashes are ranked, folded before their shuffle, and of these only the
+    lowest ranges that hold enough, so neither a language nor a text with most of the rows is a
+    burden."""
     able = docs.where((fold(F.col("doc_id")) != 0) & F.col(label).isNotNull() & F.col("text").isNotNull())
     n_chars = F.length("text")
     key = F.struct((n_chars > LONG_CHARS).alias("long"), F.xxhash64("text").alias("hash"), n_chars.alias("n_chars"))
     able = able.select(F.col(label).cast("string").alias("lang"), key.alias("key"), "text")
+    # The top bits of a hash, signed, are in the order of the hash.
+    at = {"long": F.col("key.long"), "range": F.shiftright("key.hash", 65 - HASH_RANGES.bit_length())}
+    ranges = ["lang", *at]
+    different = able.withColumns(at).select(*ranges, "key").distinct()
+    below = Window.partitionBy("lang").orderBy(*at).rowsBetween(Window.unboundedPreceding, -1)
+    sizes = different.groupBy(*ranges).agg(F.count("*").alias("n_hashes"))
+    sizes = sizes.withColumn("n_below", F.coalesce(F.sum("n_hashes").over(below), F.lit(0)))
+    lowest = different.join(sizes.where(F.col("n_below") < SAMPLE_TEXTS), ranges, "left_semi")
     first = Window.partitionBy("lang").orderBy("key")
-    drawn = able.select("lang", "key").distinct().withColumn("n", F.row_number().over(first)).where(F.col("n") <= SAMPLE_TEXTS)
+    drawn = lowest.select("lang", "key").withColumn("n", F.row_number().over(first)).where(F.col("n") <= SAMPLE_TEXTS)
     so_far = F.sum("key.n_chars").over(first.rowsBetween(Window.unboundedPreceding, Window.currentRow))
     drawn = drawn.withColumn("chars", so_far).where((F.col("chars") <= SAMPLE_CHARS) | (F.col("n") == 1))
     # At most SAMPLE_TEXTS hashes of a language, whose texts come to the driver anyway.
-    rows = able.join(F.broadcast(drawn), ["lang", "key"]).groupBy("lang", "n").agg(F.min("text").alias("text")).collect()
+    return able.join(F.broadcast(drawn), ["lang", "key"]).groupBy("lang", "n").agg(F.min("text").alias("text"))
+
+
+def train(docs: DataFrame, label: str = "lang") -> Model:
+    """Learn from ``drawn_texts``; only these reach the driver. An empty table, or one without
+    labels, teaches nothing."""
     samples: dict[str, list[str]] = {}
-    for r in sorted(rows, key=lambda r: (r["lang"], r["n"])):
+    for r in sorted(drawn_texts(docs, label).collect(), key=lambda r: (r["lang"], r["n"])):
         samples.setdefault(r["lang"], []).append(r["text"])
     return Model({k: " ".join(v) for k, v in samples.items() if LETTER.search(" ".join(v))})
 

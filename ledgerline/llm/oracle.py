@@ -35,9 +35,12 @@ WITH said AS (
 ), inner_part AS (
   SELECT DISTINCT m[1:k] AS m FROM (SELECT m, unnest(range(1, len(m))) AS k FROM same)
 )
-SELECT conv_id, CAST(len(m) AS INTEGER) AS n_turns, n_copies,
-       array_to_string(list_transform(m, lambda x: '<|im_start|>' || x.r || chr(10) || x.t || '<|im_end|>' || chr(10)), '') AS text
-FROM same WHERE m NOT IN (SELECT m FROM inner_part)
+SELECT conv_id, n_turns, n_copies, CAST(c AS INTEGER) AS chunk,
+       array_to_string(list_transform(m[256 * c + 1:256 * c + 256], lambda x: '<|im_start|>' || x.r || chr(10) || x.t || '<|im_end|>' || chr(10)), '') AS text
+FROM (
+  SELECT conv_id, m, CAST(len(m) AS INTEGER) AS n_turns, n_copies, unnest(range(0, (len(m) + 255) // 256)) AS c
+  FROM same WHERE m NOT IN (SELECT m FROM inner_part)
+)
 """
 
 _WORDS = r"regexp_extract_all(translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"

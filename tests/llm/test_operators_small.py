@@ -2,9 +2,11 @@
 
 import hashlib
 import time
+import zlib
 
 import numpy as np
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 import public_tokenizers
@@ -80,9 +82,45 @@ def test_chat(spark):
     assert chat.render(frame.where("false")).count() == 0
 
 
+@pytest.mark.parametrize(("ranges", "chunk_turns"), [(7, 3), (40, 1), (2, 256)])
+def test_long_conversations_lie_in_parts(spark, ranges, chunk_turns):
+    """One conversation with half of all turns, a copy, prefixes of it, ties of ``turn``."""
+    said = [(1, i // 2, "user" if i % 2 else "bot", f"turn {i}") for i in range(200)]
+    said += [(2, *t[1:]) for t in said[:200]] + [(3, *t[1:]) for t in said[:90]] + [(4, *t[1:]) for t in said[1:90]]
+    said += [(5, 0, "bot", "turn 0"), (6, None, "bot", "alone")] + [(1, 7, "bot", "turn 14")] * 50
+    frame = spark.createDataFrame(said, "conv_id bigint, turn bigint, role string, text string").repartition(6)
+    plain = {}
+    for conv, turn, role, text in sorted(set(said), key=lambda t: (t[0], -1 if t[1] is None else t[1], t[2])):
+        plain.setdefault(conv, []).append(f"<|im_start|>{role}\n{text}<|im_end|>\n")
+    got = {}
+    for r in sorted(chat.render(frame, ranges=ranges, chunk_turns=chunk_turns).collect(), key=lambda r: (r["conv_id"], r["chunk"])):
+        assert r["text"].count("<|im_start|>") <= chunk_turns
+        got.setdefault(r["conv_id"], []).append((r["n_turns"], r["n_copies"], r["chunk"], r["text"]))
+    assert sorted(got) == [1, 4, 6]
+    for conv, chunks in got.items():
+        assert "".join(c[3] for c in chunks) == "".join(plain[conv])
+        assert [c[2] for c in chunks] == list(range(-(-len(plain[conv]) // chunk_turns)))
+        assert {c[:2] for c in chunks} == {(len(plain[conv]), 2 if conv == 1 else 1)}
+
+
 ITEM = "quick brown fox jumps over the lazy dog and runs away"
 
 
+def test_samples_are_the_least_hashes(spark, monkeypatch):
+    monkeypatch.setattr(language, "SAMPLE_TEXTS", 9)
+    monkeypatch.setattr(language, "LONG_CHARS", 30)
+    data = [(i, f"word{i % 150} " * (1 + i % 7), "en" if i % 3 else "de") for i in range(600)]
+    data += [(1000 + i, "the same text", "en") for i in range(300)] + [(2000, "one", "fr"), (2004, None, "fr"), (None, "no", "it")]
+    want = {}
+    for lang in ("en", "de", "fr"):
+        texts = {t for i, t, k in data if k == lang and t is not None and i is not None and zlib.crc32(str(i).encode()) % 5}
+        keys = sorted((len(t) > 30, np.uint64(xxhash.xxh64_intdigest(t.encode(), 42)).astype(np.int64), t) for t in texts)
+        want |= {(lang, n): t for n, (*_, t) in enumerate(keys[:9], 1)}
+    drawn = language.drawn_texts(spark.createDataFrame(data, "doc_id bigint, text string, lang string").repartition(5))
+    assert {(r["lang"], r["n"]): r["text"] for r in drawn.collect()} == want
+    assert language.drawn_texts(spark.createDataFrame([], "doc_id bigint, text string, lang string")).count() == 0
+
+
 def test_decontamination(spark, docs, empty):
     items = [(10, ITEM), (9, ITEM.upper()), (9, ITEM), (11, "stays mainly"), (12, None), (13, "--"), (None, "123")]
     items = spark.createDataFrame(items, "item_id bigint, text string").withColumn("n_words", F.lit(1))
