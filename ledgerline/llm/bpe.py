@@ -30,6 +30,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerline.llm.batches import lists, offsets, raw, text_slices
+from ledgerline.llm.names import free_names
 from ledgerline.llm.shipping import ship_package
 
 #: Entries of the younger half of a task's memory (results do not depend on it).
@@ -289,7 +290,8 @@ def decode(docs: DataFrame, ranks_path: str, pattern: str, ids: str = "ids", dec
 
 def round_trip(docs: DataFrame, ranks_path: str, pattern: str, text: str = "text") -> DataFrame:
     """``docs`` with ``ids`` as of :func:`encode` and ``decoded`` as of :func:`decode`, in one
-    pass: the same worker decodes the ids that it has just made."""
+    pass: the same worker decodes the ids that it has just made. NULL and empty texts have no
+    ids and no bytes, repeated rows all stay, an empty table stays empty."""
     name = ship(docs.sparkSession, ranks_path)
 
     @F.arrow_udf(f"struct<ids:{IDS_TYPE}, decoded:binary>")
@@ -300,5 +302,6 @@ def round_trip(docs: DataFrame, ranks_path: str, pattern: str, text: str = "text
             decoded = pa.array(own.decode(ids, lengths), pa.binary())
             yield pa.StructArray.from_arrays([lists(ids, lengths, pa.int32()), decoded], ["ids", "decoded"])
 
-    coded = docs.withColumn("_both", both(F.col(text)))
-    return coded.withColumns({c: F.col(f"_both.{c}") for c in ("ids", "decoded")}).drop("_both")
+    (own,) = free_names(docs, "_both")
+    coded = docs.withColumn(own, both(F.col(text)))
+    return coded.withColumns({c: F.col(f"{own}.{c}") for c in ("ids", "decoded")}).drop(own)

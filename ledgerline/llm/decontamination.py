@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerline.llm.batches import lists, raw, text_slices
+from ledgerline.llm.names import free_names
 from ledgerline.llm.shipping import ship_package
 from ledgerline.sinks.files import Stage
 
@@ -153,17 +154,6 @@ def _merged(spans: Column) -> Column:
     )
 
 
-def _free(df: DataFrame, *names: str) -> list[str]:
-    """``names``, made longer where ``df`` has a column of that name (in any case)."""
-    taken = {c.lower() for c in df.columns}
-    out = []
-    for name in names:
-        while name.lower() in taken:
-            name += "_"
-        out.append(name)
-    return out
-
-
 def scan(
     docs: DataFrame, items: DataFrame, text: str = "text", window: int = WINDOW, block_bytes: int = BLOCK_BYTES, stage: Stage | None = None,
 ) -> DataFrame:
@@ -177,7 +167,7 @@ def scan(
     Items beyond ``block_bytes`` need a stage (one of its own if none is given)."""
     spark = docs.sparkSession
     ship_package(spark)
-    own, k1, k2, earlier = _free(docs, "_scan", "_k1", "_k2", "_earlier")
+    own, k1, k2, earlier = free_names(docs, "_scan", "_k1", "_k2", "_earlier")
     text_key = [F.xxhash64(F.col(text)).alias(k1), F.xxhash64(F.lit(1), F.col(text)).alias(k2)]
     blocks = item_blocks(items, block_bytes)
     scanner, staged = None, []

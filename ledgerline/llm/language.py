@@ -29,6 +29,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerline.llm.batches import raw, text_slices
+from ledgerline.llm.names import free_names
 from ledgerline.llm.shipping import ship_package
 
 #: Bounds of the training sample of a language: texts, and characters of all of them. Texts are
@@ -346,8 +347,9 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
     """``docs`` with ``lang_pred``, ``score`` (0 to 1) and ``rate`` (bits per letter), which
     replace columns so named. Texts that are NULL or without a letter are ``und`` with score 0;
     so is everything if nothing was learned. Texts of any length are read whole."""
-    found = docs.withColumn("_found", predictor(model, docs)(F.col("text")))
-    return found.withColumns({c: F.col(f"_found.{c}") for c in ("lang_pred", "score", "rate")}).drop("_found")
+    (own,) = free_names(docs, "_found")
+    found = docs.withColumn(own, predictor(model, docs)(F.col("text")))
+    return found.withColumns({c: F.col(f"{own}.{c}") for c in ("lang_pred", "score", "rate")}).drop(own)
 
 
 def _resembles(model: Model, docs: DataFrame, max_share: float):

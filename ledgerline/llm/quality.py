@@ -186,6 +186,7 @@ def score(docs: DataFrame, trees: Trees) -> DataFrame:
 
 
 def accepted(docs: DataFrame, trees: Trees) -> DataFrame:
-    """Rows of ``docs`` that the classifier predicts as 1."""
+    """Rows of ``docs`` that the classifier predicts as 1, with their own columns. NULL and empty
+    texts are judged as empty, repeated rows alike, long texts whole; no documents give none."""
     rows = docs.select(F.struct("*").alias("_row"), F.col("text"))
     return score(rows, trees).where("predicted = 1").select("_row.*")

@@ -30,7 +30,7 @@ DOCS = [
 def docs(spark):
     # Extra columns are named like results of the operators.
     return spark.createDataFrame(DOCS, "doc_id bigint, text string, lang string, score string").withColumns(
-        {"n_words": F.lit("mine"), "ids": F.lit("mine"), "lang_pred": F.lit("mine"), "row": F.lit(1), "fp": F.lit("mine")}
+        {"n_words": F.lit("mine"), "ids": F.lit("mine"), "lang_pred": F.lit("mine"), "row": F.lit(1), "fp": F.lit("mine"), "_found": F.lit("mine"), "_both": F.lit("mine"), "_scan": F.lit("mine")}
     )
 
 
@@ -121,6 +121,12 @@ def test_samples_are_the_least_hashes(spark, monkeypatch):
     assert language.drawn_texts(spark.createDataFrame([], "doc_id bigint, text string, lang string")).count() == 0
 
 
+def test_helper_columns_do_not_clash(spark, docs):
+    for result in (language.identify(docs, language.train(docs)), bpe.round_trip(docs, BPE_RANKS, public_tokenizers.PATTERN)):
+        assert set(docs.columns) <= set(result.columns)
+        assert {(r["_found"], r["_both"], r["_scan"]) for r in result.collect()} == {("mine",) * 3}
+
+
 def test_decontamination(spark, docs, empty):
     items = [(10, ITEM), (9, ITEM.upper()), (9, ITEM), (11, "stays mainly"), (12, None), (13, "--"), (None, "123")]
     items = spark.createDataFrame(items, "item_id bigint, text string").withColumn("n_words", F.lit(1))
