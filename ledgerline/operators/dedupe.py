@@ -20,7 +20,10 @@ def dedupe(df: DataFrame, key: str, order_by: Sequence[str] = ()) -> DataFrame:
     if not rest:
         return df.distinct()
     first = Window.partitionBy(key).orderBy(*[F.col(c).asc_nulls_first() for c in rest])
-    return df.withColumn("_n", F.row_number().over(first)).where("_n = 1").drop("_n")
+    number = "_n"
+    while number in {c.lower() for c in df.columns}:
+        number += "_"
+    return df.withColumn(number, F.row_number().over(first)).where(F.col(number) == 1).drop(number)
 
 
 def duplicate_counts(df: DataFrame, key: str) -> DataFrame:

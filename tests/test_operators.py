@@ -96,6 +96,11 @@ def test_dedupe_does_not_depend_on_input_order(spark):
     assert tuple(duplicate_counts(df.limit(0), "k").first()) == (0, 0, 0)
 
 
+def test_dedupe_keeps_columns_named_like_its_helper(spark):
+    df = spark.createDataFrame([("a", 2, 9), ("a", 1, 8), ("b", 3, 7)], "k string, _n int, _N_ int")
+    assert sorted(tuple(r) for r in dedupe(df, "k").collect()) == [("a", 1, 8), ("b", 3, 7)]
+
+
 def test_dedupe_limits_keys_before_the_shuffle(spark):
     """A key with a third of all rows leaves each task as one row."""
     rows = spark.range(30000).selectExpr("if(id % 3 = 0, 'hot', cast(id as string)) AS k", "id AS v")
