@@ -19,3 +19,14 @@ def test_feeds_are_packed(spark, sf_dir, tmp_path, monkeypatch):
     back, raw = read_jsonl(spark, f"{tmp_path}/feed"), nested(records(spark, sf_dir))
     ids = [df.selectExpr("sum(cast(xxhash64(transaction_id, amount, name) AS decimal(38, 0)))").first()[0] for df in (back, raw)]
     assert ids[0] == ids[1]
+
+
+def test_drift_feed_is_packed(spark, sf_dir, monkeypatch):
+    from ledgerline.workload import queries
+
+    folders = []
+    monkeypatch.setattr(sinks, "new_folder", lambda s, name, make=sinks.new_folder: folders.append(make(s, name)) or folders[-1])
+    queries.schema_drift(spark, sf_dir)
+    files = [f for f in Path(folders[0]).iterdir() if f.name.startswith("part-")]
+    n_chars = spark.read.text(folders[0]).selectExpr("sum(length(value))").first()[0]
+    assert n_chars > 5 * sum(f.stat().st_size for f in files)
