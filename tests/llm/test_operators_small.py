@@ -103,6 +103,17 @@ def test_long_conversations_lie_in_parts(spark, ranges, chunk_turns):
         assert {c[:2] for c in chunks} == {(len(plain[conv]), 2 if conv == 1 else 1)}
 
 
+def test_query_renders_whole_conversations(spark, tmp_path):
+    from ledgerline.llm.queries import QUERIES as LLM_QUERIES
+
+    said = [(1, i, "user", f"turn {i}") for i in range(700)] + [(2, i, "user", f"turn {i}") for i in range(300)]
+    spark.createDataFrame(said, "conv_id bigint, turn int, role string, text string").write.parquet(f"{tmp_path}/conversations.parquet")
+    rendered = LLM_QUERIES["op2_chat_formatting"](spark, str(tmp_path))
+    assert rendered.columns == ["conv_id", "n_turns", "n_copies", "text"]
+    text = "".join(f"<|im_start|>user\nturn {i}<|im_end|>\n" for i in range(700))
+    assert [tuple(r) for r in rendered.collect()] == [(1, 700, 1, text)]
+
+
 ITEM = "quick brown fox jumps over the lazy dog and runs away"
 
 
