@@ -1,6 +1,7 @@
 """What the jobs write, move and open."""
 
 from pathlib import Path
+from types import SimpleNamespace
 
 from ledgerline.sinks import files as sinks
 from ledgerline.sources.files import read_jsonl
@@ -30,3 +31,18 @@ def test_drift_feed_is_packed(spark, sf_dir, monkeypatch):
     files = [f for f in Path(folders[0]).iterdir() if f.name.startswith("part-")]
     n_chars = spark.read.text(folders[0]).selectExpr("sum(length(value))").first()[0]
     assert n_chars > 5 * sum(f.stat().st_size for f in files)
+
+
+def test_plans_settle_a_foreign_session(spark):
+    """Settings that the plans rely on reach a session that others made, but not over their choice."""
+    from ledgerline.session import PLAN_SETTINGS, settle
+
+    for key in PLAN_SETTINGS:
+        spark.conf.set(key, "true" if key.endswith("CoPartition") else "64m")
+    none_chosen = SimpleNamespace(getConf=lambda: SimpleNamespace(contains=lambda key: False))
+    settle(SimpleNamespace(conf=spark.conf, sparkContext=none_chosen))
+    assert {k: spark.conf.get(k) for k in PLAN_SETTINGS} == PLAN_SETTINGS
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64m")
+    settle(spark)  # this one was built with a choice of its own
+    assert spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes") == "64m"
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "16m")
