@@ -46,3 +46,20 @@ def test_plans_settle_a_foreign_session(spark):
     settle(spark)  # this one was built with a choice of its own
     assert spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes") == "64m"
     spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "16m")
+
+
+def test_stage_sorts_by_numbers_and_packs_digests(spark, sf_dir):
+    """The rows are sorted by the hash of their id first; tables are written with zstd."""
+    from ledgerline.plans import star
+    from ledgerline.workload import queries
+
+    stage, plans = sinks.Stage(spark), {}
+    save = stage.save
+    stage.save = lambda df, name: (plans.update({name: df}), save(df, name))[1]
+    star.ranked_transactions(queries.flat(spark, sf_dir), stage)
+    plan = plans["unique"]._jdf.queryExecution().executedPlan().toString()
+    sorts = [line for line in plan.splitlines() if "Sort [_key" in line]
+    assert sorts and all("_id" in line for line in sorts)
+    files = [f for f in Path(f"{stage.folder}/unique").iterdir() if f.name.startswith("part-")]
+    assert files and all(".zstd." in f.name for f in files)
+    stage.remove()
