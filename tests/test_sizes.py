@@ -63,3 +63,26 @@ def test_stage_sorts_by_numbers_and_packs_digests(spark, sf_dir):
     files = [f for f in Path(f"{stage.folder}/unique").iterdir() if f.name.startswith("part-")]
     assert files and all(".zstd." in f.name for f in files)
     stage.remove()
+
+
+def test_buckets_follow_the_rows(spark, sf_dir):
+    """Small tables are not cut into a file per month and shuffle partition."""
+    from ledgerline.plans import star
+    from ledgerline.schemas import SOURCE_ID
+    from ledgerline.sinks import tables as catalog
+    from ledgerline.workload import queries
+
+    cores = spark.sparkContext.defaultParallelism
+    flat = queries.flat(spark, sf_dir).where("date BETWEEN '1998-03-01' AND '1998-03-31'")
+    built = star.build_star(flat, sinks.Stage(spark), partitioned=True)
+    database = queries.scratch_database(spark)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "40")
+    try:
+        assert [catalog.bucket_count(spark, n) for n in (0, 10_000_001, 10**9)] == [min(cores, 40), 21, 40]
+        names = catalog.load_tables(built, database).names
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    for table in ("fact_transactions", "dim_location"):
+        assert len(spark.table(names[table]).inputFiles()) <= cores
+        assert spark.table(names[table]).count() == flat.select(SOURCE_ID).distinct().count()
