@@ -32,11 +32,12 @@ def bucket_digits(df: DataFrame) -> int:
 def hashed_rank(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rank in the order (md5 of the keys, keys). ``keys`` must be unique."""
     texts = [F.coalesce(F.col(k).cast("string"), F.lit("")) for k in keys]
-    digest = F.md5(F.concat_ws("\x1f", *texts))
     # Half as long as bytes, in the same order as the digits.
-    hashed = df.withColumn("_digest", F.unhex(digest))
-    bucket = F.lower(F.substring(F.hex("_digest"), 1, bucket_digits(df)))
-    return _rank(hashed, bucket, ["_digest", *keys]).drop("_digest")
+    hashed = df.withColumn("_digest", F.unhex(F.md5(F.concat_ws("\x1f", *texts))))
+    # A bucket is never NULL. If it could be, the join in :func:`dense_key` would filter one of
+    # its two readings, by a digest of every row behind ``df``, and nothing would be read once.
+    start = F.lower(F.substring(F.hex(F.substring("_digest", 1, 3)), 1, bucket_digits(df)))
+    return _rank(hashed, F.coalesce(start, F.lit("")), ["_digest", *keys]).drop("_digest")
 
 
 def calendar_rank(df: DataFrame, day: str) -> DataFrame:

@@ -86,3 +86,16 @@ def test_buckets_follow_the_rows(spark, sf_dir):
     for table in ("fact_transactions", "dim_location"):
         assert len(spark.table(names[table]).inputFiles()) <= cores
         assert spark.table(names[table]).count() == flat.select(SOURCE_ID).distinct().count()
+
+
+def test_dimensions_read_the_rows_once(spark, sf_dir):
+    from ledgerline.plans import star
+    from ledgerline.workload import queries
+
+    unique, stage = queries.ranked(spark, sf_dir)
+    for build in (star.dim_account, star.dim_category, lambda df: star.dim_category(df, grain="full"), star.dim_date):
+        dim = build(unique)
+        dim.collect()
+        plan = dim._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+        assert plan.count("FileScan") == 1 and "ReusedExchange" in plan
+    stage.remove()
