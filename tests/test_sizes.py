@@ -99,3 +99,12 @@ def test_dimensions_read_the_rows_once(spark, sf_dir):
         plan = dim._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
         assert plan.count("FileScan") == 1 and "ReusedExchange" in plan
     stage.remove()
+
+
+def test_whole_records_are_packed_tighter_than_fast(spark, sf_dir, tmp_path):
+    feed = nested_full(records(spark, sf_dir)).coalesce(1)
+    sinks.write_jsonl(feed, f"{tmp_path}/feed")
+    feed.write.options(**sinks.FEED_FILES).option("ignoreNullFields", "false").json(f"{tmp_path}/fast")
+    tight, fast = (sum(f.stat().st_size for f in Path(f"{tmp_path}/{name}").glob("part-*")) for name in ("feed", "fast"))
+    assert tight < 0.8 * fast
+    assert spark.read.text(f"{tmp_path}/feed").exceptAll(spark.read.text(f"{tmp_path}/fast")).isEmpty()
