@@ -69,11 +69,14 @@ def ranked_transactions(flat: DataFrame, stage: Stage) -> DataFrame:
     ranks = stage.save(hashed_rank(flat.select(SOURCE_ID).distinct(), [SOURCE_ID]), "ranks")
     # As a struct the id is a key that joins a NULL id too, without a null-safe condition,
     # which would move the full rows again. Its hash comes first: sorts compare numbers then,
-    # and look into the rows only where two are equal.
+    # and look into the rows only where two are equal. The rows carry the id in it alone.
     key = [F.xxhash64(SOURCE_ID).alias("_key"), F.struct(SOURCE_ID).alias("_id")]
     numbers = dense_key(ranks, LOCATION_ID).select(*key, LOCATION_ID)
-    unique = dedupe(flat.drop(*DATE_PARTS).select("*", *key), ["_key", "_id"])
-    return stage.save(unique.join(numbers, ["_key", "_id"]).drop("_key", "_id"), "unique")
+    kept = [c for c in flat.columns if c not in DATE_PARTS]
+    rest = [c for c in kept if c != SOURCE_ID]
+    unique = dedupe(flat.select(*rest, *key), ["_key", "_id"])
+    numbered = unique.join(numbers, ["_key", "_id"]).withColumn(SOURCE_ID, F.col("_id")[SOURCE_ID])
+    return stage.save(numbered.select(*kept, LOCATION_ID), "unique")
 
 
 def dated(ranked: DataFrame) -> DataFrame:

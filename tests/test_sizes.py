@@ -108,3 +108,20 @@ def test_whole_records_are_packed_tighter_than_fast(spark, sf_dir, tmp_path):
     tight, fast = (sum(f.stat().st_size for f in Path(f"{tmp_path}/{name}").glob("part-*")) for name in ("feed", "fast"))
     assert tight < 0.8 * fast
     assert spark.read.text(f"{tmp_path}/feed").exceptAll(spark.read.text(f"{tmp_path}/fast")).isEmpty()
+
+
+def test_rows_carry_their_id_once(spark, sf_dir):
+    from ledgerline.plans import star
+    from ledgerline.schemas import DATE_PARTS, LOCATION, SOURCE_ID
+    from ledgerline.workload import queries
+
+    stage, plans = sinks.Stage(spark), {}
+    save = stage.save
+    stage.save = lambda df, name: (plans.update({name: df}), save(df, name))[1]
+    flat = queries.flat(spark, sf_dir)
+    unique = star.ranked_transactions(flat, stage)
+    plan = plans["unique"]._jdf.queryExecution().executedPlan().toString()
+    sorts = [line for line in plan.splitlines() if "Sort [_key" in line and LOCATION[0] in line]
+    assert sorts and not any(SOURCE_ID in line for line in sorts)
+    assert unique.columns == [*[c for c in flat.columns if c not in DATE_PARTS], "location_id"]
+    stage.remove()
