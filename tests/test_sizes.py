@@ -125,3 +125,18 @@ def test_rows_carry_their_id_once(spark, sf_dir):
     assert sorts and not any(SOURCE_ID in line for line in sorts)
     assert unique.columns == [*[c for c in flat.columns if c not in DATE_PARTS], "location_id"]
     stage.remove()
+
+
+def test_transformed_lines_are_not_sorted(spark, sf_dir, tmp_path):
+    """Broken lines have no folder of their own, by which all rows would be sorted (and spilled)."""
+    from ledgerline.plans import batch
+    from ledgerline.schemas import ACCOUNT_OWNERS
+
+    (tmp_path / "feed").mkdir()
+    lines = ['{"transaction_id": "a", "amount": 1.5}', "{broken", '{"transaction_id": "b"}']
+    (tmp_path / "feed" / "a.json").write_text("\n".join(lines) + "\n")
+    raw = read_jsonl(spark, f"{tmp_path}/feed", keep_corrupt=True)
+    sound, counts = batch.write_transformed(raw, ACCOUNT_OWNERS, f"{tmp_path}/flat", f"{tmp_path}/rejected")
+    assert not [f for f in Path(f"{tmp_path}/flat").iterdir() if f.is_dir()]
+    assert counts == {"read": 3, "rejected": 1, "transformed": 2} and sound.count() == 2
+    assert [r.line for r in spark.read.parquet(f"{tmp_path}/rejected").collect()] == ["{broken"]
