@@ -8,7 +8,7 @@ shuffled. Nothing is inferred from a sample: every value of every line counts.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -23,10 +23,11 @@ READABLE = {STRING: (STRING, NUMBER, BOOLEAN), NUMBER: (NUMBER,), BOOLEAN: (BOOL
 
 
 def _kind(value: str) -> str:
-    """SQL text: kind of a variant, by the first letters of its type."""
+    """SQL text: kind of a variant, by the first letters of its type. Plain cases, since this runs
+    for every value of every line and a map literal would be searched outside generated code."""
     names = {"OBJ": OBJECT, "ARR": ARRAY, "STR": STRING, "BOO": BOOLEAN, "VOI": NULL}
-    known = ", ".join(f"'{start}', '{kind}'" for start, kind in names.items())
-    return f"coalesce(map({known})[substr(schema_of_variant({value}), 1, 3)], if({value} IS NULL, NULL, '{NUMBER}'))"
+    cases = " ".join(f"WHEN '{start}' THEN '{kind}'" for start, kind in names.items())
+    return f"CASE substr(schema_of_variant({value}), 1, 3) {cases} ELSE if({value} IS NULL, NULL, '{NUMBER}') END"
 
 
 def found_fields(lines: DataFrame, depth: int = DEPTH) -> DataFrame:
@@ -36,8 +37,10 @@ def found_fields(lines: DataFrame, depth: int = DEPTH) -> DataFrame:
     are counted as ``broken`` without a path; blank lines are skipped."""
     value = lines.columns[0]
     text = lines.where(F.trim(F.col(value)) != "")
-    parsed = text.select(F.try_parse_json(F.col(value)).alias("v0"))
-    is_object = F.expr(f"coalesce({_kind('v0')} = '{OBJECT}', false)")
+    # The first letter of what was parsed tells an object; its type would be put together from all members.
+    start = F.startswith(F.ltrim(F.col(value), F.lit(" \t\r\n\ufeff")), F.lit("{"))
+    parsed = text.select(F.try_parse_json(F.col(value)).alias("v0"), start.alias("braced"))
+    is_object = F.col("v0").isNotNull() & F.col("braced")
     level = parsed.select(F.when(is_object, F.col("v0")).alias("v"), F.lit("").alias("path0"), is_object.alias("sound"))
     spark = lines.sparkSession
     for i in range(1, depth + 1):
@@ -46,7 +49,8 @@ def found_fields(lines: DataFrame, depth: int = DEPTH) -> DataFrame:
         kept = ["l.sound", *(f"l.{c}{j}" for j in range(1, i) for c in ("pos", "kind", "path"))]
         level = spark.sql(
             f"SELECT {', '.join(kept)}, m.pos AS pos{i}, m.value AS v, {_kind('m.value')} AS kind{i}, "
-            f"concat(l.path{i - 1}, CASE WHEN m.key IS NULL THEN '[]' WHEN l.path{i - 1} = '' THEN m.key ELSE concat('.', m.key) END) AS path{i} "
+            f"CASE WHEN m.pos IS NULL THEN NULL WHEN m.key IS NULL THEN concat(l.path{i - 1}, '[]') "
+            f"WHEN l.path{i - 1} = '' THEN m.key ELSE concat(l.path{i - 1}, '.', m.key) END AS path{i} "
             "FROM {level} l, LATERAL variant_explode_outer(l.v) m",
             level=level,
         )
@@ -55,7 +59,8 @@ def found_fields(lines: DataFrame, depth: int = DEPTH) -> DataFrame:
     for i in range(1, depth + 1):
         first = "".join(f" AND coalesce(pos{j}, 0) = 0" for j in range(i + 1, depth + 1))
         items.append(f"CASE WHEN pos{i} IS NOT NULL{first} THEN struct(path{i} AS path, kind{i} AS kind) END")
-    found = level.select(F.explode(F.expr(f"filter(array({', '.join(items)}), x -> x IS NOT NULL)")).alias("f"))
+    # Empty places are dropped as rows: a filter of the array would be interpreted, row by row.
+    found = level.select(F.explode(F.expr(f"array({', '.join(items)})")).alias("f")).where("f IS NOT NULL")
     return found.groupBy("f.path", "f.kind").agg(F.count("*").alias("n_values"))
 
 
@@ -86,10 +91,13 @@ def drift(found: DataFrame, schema: T.StructType = RAW) -> DataFrame:
         [(p, k, list(READABLE[k]), _holder(p)) for p, k in expected_fields(schema)],
         "path string, expected string, readable array<string>, holder string",
     )
-    # The counts are one row per path and kind of value: the joins are small on both sides.
-    objects = found.where(F.col("kind") == OBJECT).select(F.col("path").alias("holder"), F.lit(True).alias("held"))
-    fields = fields.join(objects, "holder", "left").withColumn("held", F.coalesce("held", F.col("holder") == ""))
-    both = found.join(fields, "path", "full")
+    # A row comes once for itself, by its holder, and once for its members, by its path, if it is an
+    # object. A join of the counts with themselves would read the whole feed twice.
+    own = F.struct(F.col("holder").alias("key"), F.lit(False).alias("object"))
+    held = F.when(F.col("kind") == OBJECT, F.struct(F.col("path").alias("key"), F.lit(True).alias("object")))
+    both = found.join(fields, "path", "full").withColumn("side", F.explode(F.array(own, held))).where("side IS NOT NULL")
+    has_object = F.max("side.object").over(Window.partitionBy("side.key"))
+    both = both.withColumn("held", (F.col("holder") == "") | has_object).where("NOT side.object")
     kind, expected = F.col("kind"), F.col("expected")
     is_value = kind.isNotNull() & (kind != NULL)
     what = (

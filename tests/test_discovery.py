@@ -64,6 +64,26 @@ def test_discovery_shuffles_counts_only(spark, tmp_path):
     assert plan.count("FileScan") == plan.count("Exchange") == 1 and "Python" not in plan
 
 
+def test_drift_reads_the_feed_once(spark, tmp_path):
+    write_jsonl(spark.range(10), f"{tmp_path}/feed")
+    report = discovery.drift_report(spark, f"{tmp_path}/feed", SCHEMA)
+    assert report._jdf.queryExecution().executedPlan().toString().count("FileScan") == 1
+    assert {r[:2] for r in rows(report)} == {("id", "new"), ("a", "lost"), ("b", "lost"), ("e", "lost"), ("gone", "lost"), ("o", "lost")}
+
+
+def test_every_value_is_judged_in_generated_code(spark):
+    """A lambda or a map literal per value took most of the time."""
+    lines = spark.createDataFrame([(x,) for x in LINES], "value string")
+    plan = discovery.found_fields(lines)._jdf.queryExecution().optimizedPlan().toString()
+    assert "lambda" not in plan and "map(" not in plan and "keys: [" not in plan
+
+
+def test_objects_are_told_by_their_first_letter(spark):
+    data = [' \t\r{"a":1}', '"{"', "[{}]", '{"a":', "{x}", " {} ", '[{"a":2}]']
+    found = discovery.found_fields(spark.createDataFrame([(x,) for x in data], "value string"))
+    assert rows(found) == sorted([("a", "number", 1), (None, "broken", 5)], key=repr)
+
+
 def test_violations_come_with_some_of_their_keys(spark):
     data = [(f"k{i}", None if i % 3 == 0 else i, "x") for i in range(90)] + [("k1", 5, None), ("k2", 6, None), (None, None, "y")]
     model = spark.createDataFrame(data, "id string, amount int, other string")
