@@ -1,8 +1,11 @@
 """What the jobs write, move and open."""
 
+import time
 from pathlib import Path
 from types import SimpleNamespace
 
+from pyspark.sql import functions as F
+
 from ledgerline.sinks import files as sinks
 from ledgerline.sources.files import read_jsonl
 from ledgerline.workload.records import nested, nested_full, records
@@ -140,3 +143,46 @@ def test_transformed_lines_are_not_sorted(spark, sf_dir, tmp_path):
     assert not [f for f in Path(f"{tmp_path}/flat").iterdir() if f.is_dir()]
     assert counts == {"read": 3, "rejected": 1, "transformed": 2} and sound.count() == 2
     assert [r.line for r in spark.read.parquet(f"{tmp_path}/rejected").collect()] == ["{broken"]
+
+
+def shuffle_files(spark) -> int:
+    """Files of shuffles that the local session holds at the moment."""
+    jvm = spark.sparkContext._jvm
+    folders = jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()
+    return sum(1 for folder in folders for _ in Path(folder).rglob("shuffle_*.data"))
+
+
+def test_written_frames_leave_no_shuffles_behind(spark, sf_dir, tmp_path):
+    from ledgerline.workload import queries
+
+    def freed(build) -> bool:
+        """Whether the shuffles of what ``build`` does are gone soon after it (they go in the background)."""
+        held = shuffle_files(spark)
+        result = build()
+        deadline = time.time() + 20
+        while shuffle_files(spark) > held and time.time() < deadline:
+            time.sleep(0.1)
+        assert result is not None
+        return shuffle_files(spark) <= held
+
+    counts = spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count()
+    assert not freed(lambda: (counts.write.parquet(f"{tmp_path}/plain"), 1))
+    assert freed(lambda: sinks.Stage(spark).save(counts, "counts"))
+    assert freed(lambda: sinks.Stage(spark).save_all({"a": counts, "b": counts}))
+    assert freed(lambda: (sinks.write_jsonl(counts, f"{tmp_path}/feed"), 1))
+    assert spark.conf.get(sinks.FREED) == "false"
+    unique, stage = queries.ranked(spark, sf_dir)
+    assert not Path(f"{stage.folder}/transform").exists() and unique.count() == unique.select("location_id").distinct().count()
+    stage.remove()
+
+
+def test_star_is_built_from_written_rows(spark, sf_dir, monkeypatch):
+    """The rows of the star come from files, so no shuffle of the transform is held while they move."""
+    from ledgerline.plans import star
+    from ledgerline.workload import queries
+
+    seen, build = [], star.build_star
+    monkeypatch.setattr(star, "build_star", lambda flat, *args, **more: (seen.append(flat), build(flat, *args, **more))[1])
+    fact = queries.tables(spark, sf_dir)["fact_transactions"]
+    plan = seen[0]._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan and fact.select("location_id").distinct().count() == fact.count()
