@@ -186,3 +186,29 @@ def test_star_is_built_from_written_rows(spark, sf_dir, monkeypatch):
     fact = queries.tables(spark, sf_dir)["fact_transactions"]
     plan = seen[0]._jdf.queryExecution().optimizedPlan().toString()
     assert "Join" not in plan and fact.select("location_id").distinct().count() == fact.count()
+
+
+def test_filled_ids_stay_behind(spark, sf_dir):
+    """Ids made of the transaction id are neither moved nor written with the rows, and all come back."""
+    from ledgerline.operators.dedupe import dedupe
+    from ledgerline.plans import star
+    from ledgerline.schemas import DATE_PARTS, FILLED_IDS, SOURCE_ID
+    from ledgerline.workload import queries
+
+    stage = sinks.Stage(spark)
+    flat = stage.save(queries.flat(spark, sf_dir), "flat")
+    # Rows of one id whose merchants come before, at and after the stand-in, and one without any.
+    first = flat.orderBy(SOURCE_ID).limit(40)
+    odd = [F.lit(""), F.lit("~"), F.concat("address", F.lit("x")), F.lit(None).cast("string")]
+    for i, value in enumerate(odd):
+        changed = first.where(F.pmod(F.crc32(SOURCE_ID), F.lit(5)) >= i)
+        flat = flat.union(changed.withColumns({c: value for c in FILLED_IDS}).withColumn("lat", F.lit(1.0)))
+    flat = stage.save(flat, "odd").repartition(3)
+    unique = star.ranked_transactions(flat, stage)
+    kept = [c for c in flat.columns if c not in DATE_PARTS]
+    want = dedupe(flat.select(*kept), SOURCE_ID)
+    assert unique.drop("location_id").exceptAll(want).isEmpty() and unique.count() == want.count()
+    written = spark.read.parquet(f"{stage.folder}/unique")
+    made = F.col("address").rlike("^[0-9a-f]{8}-([0-9a-f]{4}-){3}[0-9a-f]{12}$")
+    assert want.where(made).count() > 1000 and written.where(made).isEmpty()
+    stage.remove()
