@@ -258,6 +258,13 @@ def test_batch_run(spark, sf_dir, extracts, tmp_path, flat):
     assert set(STAR_TABLES) <= {p.name for p in load.iterdir()}
 
 
+def test_a_run_keeps_dumps_but_no_steps(spark, extracts, tmp_path):
+    """What only led to the dumps is deleted before the tables are loaded from them."""
+    batch.run(spark, extracts, f"{tmp_path}/out", database="ledger_lean", models_database="ledger_lean_marts", as_of=DAY, buckets=1)
+    load = next((tmp_path / "out" / "load" / f"run_date={DAY}").iterdir())
+    assert {p.name for p in load.iterdir()} == set(STAR_TABLES)
+
+
 def test_broken_lines_are_kept_and_counted(spark, sf_dir, extracts, tmp_path, flat):
     (tmp_path / "extract" / f"run_date={DAY}" / "broken.json").write_text('{broken\n{"transaction_id": 1, "amount": "x"}\n')
     out, args = f"{tmp_path}/out", {"database": "ledger_broken", "models_database": "ledger_broken_marts"}
