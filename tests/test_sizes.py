@@ -153,6 +153,7 @@ def shuffle_files(spark) -> int:
 
 
 def test_written_frames_leave_no_shuffles_behind(spark, sf_dir, tmp_path):
+    from ledgerline.plans import quality
     from ledgerline.workload import queries
 
     def freed(build) -> bool:
@@ -170,6 +171,7 @@ def test_written_frames_leave_no_shuffles_behind(spark, sf_dir, tmp_path):
     assert freed(lambda: sinks.Stage(spark).save(counts, "counts"))
     assert freed(lambda: sinks.Stage(spark).save_all({"a": counts, "b": counts}))
     assert freed(lambda: (sinks.write_jsonl(counts, f"{tmp_path}/feed"), 1))
+    assert freed(lambda: (quality.require_clean(quality.suite({"m": counts}, {"m": {"k": ["unique"]}})), 1))
     assert spark.conf.get(sinks.FREED) == "false"
     unique, stage = queries.ranked(spark, sf_dir)
     assert not Path(f"{stage.folder}/transform").exists() and unique.count() == unique.select("location_id").distinct().count()
